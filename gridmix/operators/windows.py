@@ -48,6 +48,16 @@ def rolling_zscore(df: DataFrame, value: str, keys: list, order: str, out: str,
     )
 
 
+def rolling_stat(df: DataFrame, value: str, keys: list, order: str, out: str,
+                 stat: str = "avg", n: int = ROLLING_ROWS, digits: int | None = None) -> DataFrame:
+    """Trailing ``n``-row mean (``stat="avg"``) or sample standard deviation
+    (``stat="stddev"``) of ``value``, optionally rounded."""
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(n - 1), 0)
+    fn = {"avg": F.avg, "stddev": F.stddev_samp}[stat]
+    c = fn(value).over(w)
+    return df.withColumn(out, c if digits is None else round_half_up(c, digits))
+
+
 def flag_anomaly(df: DataFrame, z: str, out: str, threshold: float = ANOMALY_Z) -> DataFrame:
     """``abs(z) > threshold`` on the (rounded) z; NULL z gives a NULL flag."""
     return df.withColumn(out, F.abs(F.col(z)) > F.lit(threshold))
