@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 # the decimal value, identical across engines, instead of half-even/binary
 # artefacts of rounding a double directly.
 ROUND_DECIMAL = "decimal(28,10)"
-# Sums of measures are carried as exact decimals of this type, so the result
-# does not depend on the order in which partitions are combined.
-SUM_DECIMAL = "decimal(18,2)"
+# Measures are summed as exact integers of hundredths (ties to even on the
+# third decimal), so a sum does not depend on the order in which partitions are
+# combined and stays a primitive long inside generated code.
+MEASURE_SCALE = 100
 
 
 def _col(c) -> Column:
@@ -33,8 +34,13 @@ def safe_ratio(numerator, denominator) -> Column:
 
 
 def exact(c) -> Column:
-    """Measure as an exact decimal (for order-independent sums)."""
-    return _col(c).cast(SUM_DECIMAL)
+    """Measure as an exact integer count of hundredths (bigint)."""
+    return F.rint(_col(c) * F.lit(MEASURE_SCALE)).cast("bigint")
+
+
+def from_exact(total) -> Column:
+    """Sum of hundredths back to a double measure."""
+    return _col(total) / F.lit(float(MEASURE_SCALE))
 
 
 def exact_sum(c, cond: Column | None = None) -> Column:
@@ -44,8 +50,8 @@ def exact_sum(c, cond: Column | None = None) -> Column:
     """
     value = exact(c)
     if cond is not None:
-        value = F.when(cond, value).otherwise(F.lit(0).cast(SUM_DECIMAL))
-    return F.sum(value).cast("double")
+        value = F.when(cond, value).otherwise(F.lit(0).cast("bigint"))
+    return from_exact(F.sum(value))
 
 
 def fine_sum(c) -> Column:
@@ -59,7 +65,7 @@ def fine_sum(c) -> Column:
 
 def exact_avg(c) -> Column:
     """AVG of a measure from an exact sum and a count of non-NULL values."""
-    return safe_ratio(F.sum(exact(c)).cast("double"), F.count(_col(c)))
+    return safe_ratio(from_exact(F.sum(exact(c))), F.count(_col(c)))
 
 
 def share_pct(value, cond: Column, digits: int = 2) -> Column:

@@ -14,7 +14,7 @@ from gridmix.constants import CATEGORY_MAP, OTHER_CATEGORY, SEASON_MONTHS, SOLAR
 from gridmix.functions.calendar import season as season_of, utc_day, year_of
 from gridmix.functions.classify import classify
 from gridmix.functions.numeric import (
-    SUM_DECIMAL, exact, exact_sum, round_half_up, safe_ratio, share_pct,
+    exact, exact_sum, from_exact, round_half_up, safe_ratio, share_pct,
 )
 
 
@@ -51,13 +51,13 @@ def daily_rollup(
         exact(generation).alias("_gen"),
         exact(load).alias("_load"),
     )
-    zero = F.lit(0).cast(SUM_DECIMAL)
+    zero = F.lit(0).cast("bigint")
     return classified.groupBy("country_code", "date", "energy_category", "season").agg(
-        F.sum("_gen").cast("double").alias("generation_mwh"),
-        safe_ratio(F.sum("_load").cast("double"), F.count("_load")).alias("load_mwh"),
-        F.sum(F.when(F.col("_is_wind"), F.col("_gen")).otherwise(zero)).cast("double")
+        from_exact(F.sum("_gen")).alias("generation_mwh"),
+        safe_ratio(from_exact(F.sum("_load")), F.count("_load")).alias("load_mwh"),
+        from_exact(F.sum(F.when(F.col("_is_wind"), F.col("_gen")).otherwise(zero)))
         .alias("wind_generation_mwh"),
-        F.sum(F.when(F.col("_is_solar"), F.col("_gen")).otherwise(zero)).cast("double")
+        from_exact(F.sum(F.when(F.col("_is_solar"), F.col("_gen")).otherwise(zero)))
         .alias("solar_generation_mwh"),
     )
 
@@ -77,9 +77,9 @@ def share_over(df: DataFrame, value: str, cond: Column, coarse_keys: list,
     already be aggregated (small); the window shuffles on ``coarse_keys`` only.
     """
     w = Window.partitionBy(*coarse_keys)
-    zero = F.lit(0).cast(SUM_DECIMAL)
-    part = F.sum(F.when(cond, exact(value)).otherwise(zero)).over(w).cast("double")
-    total = F.sum(exact(value)).over(w).cast("double")
+    zero = F.lit(0).cast("bigint")
+    part = from_exact(F.sum(F.when(cond, exact(value)).otherwise(zero)).over(w))
+    total = from_exact(F.sum(exact(value)).over(w))
     return df.withColumn(out, round_half_up(safe_ratio(part, total) * 100, digits))
 
 

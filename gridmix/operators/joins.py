@@ -17,10 +17,19 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 100_000
 
 
+# Outcome of earlier size checks, keyed by the plan's semantic hash and the
+# bound, so a dimension used by several models is counted once per session.
+_CHECKED: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    small = _CHECKED.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = small
+    return F.broadcast(df) if small else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, how: str = "left",

@@ -13,12 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridmix.plans import intermediate, marts, staging
 from gridmix.sources import standins
+from gridmix.sources.sinks import materialize
 
 
 class Models:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Lazily built models over one scale-factor folder.
+
+    With ``materialize`` the daily rollup (one row per country, day, category:
+    small next to the hourly input) is written once to the shared checkpoint
+    folder and every downstream model reads it, like the intermediate table of
+    the original warehouse; otherwise each consumer recomputes it.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
 
     # ---- raw / staged inputs -------------------------------------------------
     @cached_property
@@ -56,12 +66,13 @@ class Models:
     # ---- intermediate ------------------------------------------------------
     @cached_property
     def rollup(self) -> DataFrame:
-        return intermediate.generation_rollup(
+        df = intermediate.generation_rollup(
             self.hourly,
             category_map=standins.STANDIN_CATEGORY_MAP,
             wind_types=standins.STANDIN_WIND_TYPES,
             solar_types=standins.STANDIN_SOLAR_TYPES,
         )
+        return materialize(df, "daily-rollup") if self.materialize else df
 
     @cached_property
     def daily(self) -> DataFrame:

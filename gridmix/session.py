@@ -49,6 +49,22 @@ def get_session(
     return spark
 
 
+def scratch_dir(spark: SparkSession) -> str | None:
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
+
+    In local mode an unset folder is replaced by a fresh one under the system
+    temp folder (there is only one machine); on a cluster it must be set, and
+    None is returned when it is not.
+    """
+    try:
+        return ensure_checkpoint_dir(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            return None
+        import tempfile
+        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="gridmix-ckpt-"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """Return the shared checkpoint folder of the cluster.
 

@@ -3,9 +3,13 @@ CSV samples and per-layer output namespaces."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmix.session import scratch_dir
+
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
 
@@ -39,3 +43,20 @@ def write_table(df: DataFrame, path: str, partition_by: str | list | None = None
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV sample with a header row."""
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for small intermediate tables that several models read (the daily
+    rollup): it is computed once, its lineage is cut, and a lost executor only
+    costs a re-read of the written files. Without a shared folder (a cluster
+    whose ``spark.checkpoint.dir`` is unset) ``df`` is returned unchanged.
+    """
+    spark = df.sparkSession
+    root = scratch_dir(spark)
+    if root is None:
+        return df
+    path = f"{root.rstrip('/')}/gridmix-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -40,8 +40,16 @@ STANDIN_YEARS = (1995, 2001)
 DIM_ROWS = 1_000
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver table ``name`` (the file listing and footer read happen once per session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
