@@ -36,8 +36,7 @@ def main() -> None:
 
     spark = get_session(
         app="gridmix-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
-        conf={"spark.driver.memory": "16g",
-              "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024)},
+        conf={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     qs = queries()

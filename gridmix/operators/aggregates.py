@@ -35,7 +35,9 @@ def daily_rollup(
     Measures: ``generation_mwh`` (sum), ``load_mwh`` (mean of hourly load) and,
     carried for the weather model, ``wind_generation_mwh`` / ``solar_generation_mwh``
     (sums over the wind / solar production types). One shuffle of the large
-    input, with map-side partial aggregation.
+    input, with map-side partial aggregation; the season depends on the date
+    only, so it is derived once per group after the aggregate instead of once
+    per hourly row.
     """
     category_map = category_map if category_map is not None else CATEGORY_MAP
     wind_types = WIND_TYPES if wind_types is None else wind_types
@@ -45,14 +47,13 @@ def daily_rollup(
         F.col(country).alias("country_code"),
         day.alias("date"),
         classify(production_type, category_map, OTHER_CATEGORY).alias("energy_category"),
-        season_of(day, seasons or SEASON_MONTHS).alias("season"),
         F.col(production_type).isin(list(wind_types)).alias("_is_wind"),
         F.col(production_type).isin(list(solar_types)).alias("_is_solar"),
         exact(generation).alias("_gen"),
         exact(load).alias("_load"),
     )
     zero = F.lit(0).cast("bigint")
-    return classified.groupBy("country_code", "date", "energy_category", "season").agg(
+    agg = classified.groupBy("country_code", "date", "energy_category").agg(
         from_exact(F.sum("_gen")).alias("generation_mwh"),
         safe_ratio(from_exact(F.sum("_load")), F.count("_load")).alias("load_mwh"),
         from_exact(F.sum(F.when(F.col("_is_wind"), F.col("_gen")).otherwise(zero)))
@@ -60,6 +61,9 @@ def daily_rollup(
         from_exact(F.sum(F.when(F.col("_is_solar"), F.col("_gen")).otherwise(zero)))
         .alias("solar_generation_mwh"),
     )
+    return agg.select("country_code", "date", "energy_category",
+                      season_of("date", seasons or SEASON_MONTHS).alias("season"),
+                      "generation_mwh", "load_mwh", "wind_generation_mwh", "solar_generation_mwh")
 
 
 def conditional_sums(df: DataFrame, keys: list, value: str, conditions: dict) -> DataFrame:

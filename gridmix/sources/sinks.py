@@ -31,13 +31,12 @@ def write_table(df: DataFrame, path: str, partition_by: str | list | None = None
     present in ``df`` when the session uses dynamic partition overwrite)."""
     if loaded_at:
         df = with_loaded_at(df)
-    writer = df.write.mode(mode)
-    if partition_by:
-        cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        # Cluster rows of one partition value into the same task: few files per date.
-        df = df.repartition(*cols)
-        writer = df.write.mode(mode).partitionBy(*cols)
-    writer.parquet(path)
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    # Cluster rows of one partition value into the same task: few files per date.
+    df.repartition(*cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
