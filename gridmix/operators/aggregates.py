@@ -111,6 +111,11 @@ def load_profile(df: DataFrame, key_col: str, order_col: str) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """First ``n`` rows, unordered (a look at a load, not a top-k)."""
+    return df.limit(n)
+
+
 def distinct_values(df: DataFrame, cols) -> DataFrame:
     """Sorted distinct values of one or more columns (preview listing)."""
     cols = [cols] if isinstance(cols, str) else list(cols)

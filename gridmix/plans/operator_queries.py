@@ -15,7 +15,9 @@ from gridmix.operators import aggregates as A
 from gridmix.operators import quality as Q
 from gridmix.operators import sets as S
 from gridmix.operators import windows as W
-from gridmix.operators.joins import fan_out, join_detail_to_aggregate, lookup, semi_filter
+from gridmix.operators.joins import (
+    bounded_broadcast, fan_out, join_detail_to_aggregate, lookup, semi_filter,
+)
 from gridmix.plans import intermediate as I
 from gridmix.plans import marts as M
 from gridmix.plans import oracle_sql as O
@@ -73,25 +75,25 @@ def _recent_days(m: Models) -> DataFrame:
     return recent_days(m.daily, "date", DEV_DAYS, as_of=DEV_AS_OF)
 
 
-# Parallel arrays per order (an order has at most 7 lines), zipped back to rows.
-@register("zip_arrays_to_rows", """
-SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, l_quantity, l_extendedprice
-FROM lineitem""")
+# FIXED VALUES: the measures of a line item laid out as parallel arrays.
+ZIP_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+# One document per line item holding parallel arrays (measure names, values,
+# positions), zipped back to one row per array position. Row-local: no shuffle
+# and no grouping, whatever the key distribution.
+@register("zip_arrays_to_rows", " UNION ALL ".join(
+    f"SELECT l_orderkey, l_linenumber, '{m}' AS measure, CAST({m} AS DOUBLE) AS value, "
+    f"{i + 1} AS position FROM lineitem" for i, m in enumerate(ZIP_MEASURES)))
 def _zip_arrays(m: Models) -> DataFrame:
-    """Documents of parallel arrays -> one row per array position."""
+    """Documents of parallel arrays -> one row per array position."""
     li = standins.table(m.spark, m.sf_dir, "lineitem")
-    docs = (li.groupBy("l_orderkey")
-            .agg(F.array_sort(F.collect_list(F.struct(
-                "l_linenumber", F.to_date("l_shipdate").alias("d"), "l_quantity",
-                "l_extendedprice"))).alias("lines"))
-            .select("l_orderkey", F.struct(
-                F.col("lines.l_linenumber").alias("time"),
-                F.col("lines.d").alias("date"),
-                F.col("lines.l_quantity").alias("l_quantity"),
-                F.col("lines.l_extendedprice").alias("l_extendedprice")).alias("arrays")))
-    rows = zip_arrays_to_rows(docs, "arrays", ["date", "l_quantity", "l_extendedprice"],
-                              time_field="time", out_time="l_linenumber", keep=["l_orderkey"])
-    return rows.select("l_orderkey", "l_linenumber", "date", "l_quantity", "l_extendedprice")
+    docs = li.select("l_orderkey", "l_linenumber", F.struct(
+        F.array(*[F.lit(c) for c in ZIP_MEASURES]).alias("measure"),
+        F.array(*[F.col(c).cast("double") for c in ZIP_MEASURES]).alias("value"),
+        F.sequence(F.lit(1), F.lit(len(ZIP_MEASURES))).alias("position")).alias("doc"))
+    return zip_arrays_to_rows(docs, "doc", ["value", "position"], time_field="measure",
+                              out_time="measure", keep=["l_orderkey", "l_linenumber"])
 
 
 def _incremental_slice(m: Models, cutoff) -> DataFrame:
@@ -446,7 +448,8 @@ def _union(m: Models) -> DataFrame:
     """Per-region weather frames (columns in differing order) concatenated by name."""
     regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]  # FIXED VALUES: region names
     nr = standins.nation_region(m.spark, m.sf_dir).select("n_name", "r_name")
-    raw = m.weather_raw.join(F.broadcast(nr), m.weather_raw.country_code == nr.n_name)
+    raw = m.weather_raw.join(bounded_broadcast(nr, standins.DIM_ROWS),
+                             m.weather_raw.country_code == nr.n_name)
     frames = []
     for i, r in enumerate(regions):
         cols = ["country_code", "date", *WEATHER_FIELDS]

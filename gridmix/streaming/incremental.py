@@ -54,14 +54,19 @@ def lookback_cutoff(spark: SparkSession, path: str, date_col: str = "date",
     return None if newest is None else newest - _dt.timedelta(days=days)
 
 
-def since(df: DataFrame, ts_col: str, cutoff: _dt.date | None, is_timestamp: bool = True) -> DataFrame:
+def since(df: DataFrame, ts_col: str, cutoff: _dt.date | None, is_timestamp: bool = True,
+          partition_col: str | None = None) -> DataFrame:
     """Rows on or after ``cutoff`` (all rows when cutoff is None).
 
     The predicate is a literal comparison on the stored column so that Parquet
-    row-group statistics and date partitions prune the scan.
+    row-group statistics prune the scan; when the raw table is partitioned by a
+    date column, ``partition_col`` adds the same bound on it so whole partitions
+    are skipped before any file is opened.
     """
     if cutoff is None:
         return df
+    if partition_col is not None:
+        df = df.filter(F.col(partition_col) >= F.lit(cutoff))
     if is_timestamp:
         bound = _dt.datetime.combine(cutoff, _dt.time())
         return df.filter(F.col(ts_col) >= F.lit(bound).cast(df.schema[ts_col].dataType))
@@ -109,13 +114,15 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list,
 # ------------------------------------------------------------ daily tables ----
 
 def refresh_generation_daily(spark: SparkSession, hourly: DataFrame, path: str,
-                             lookback_days: int = LOOKBACK_DAYS, **rollup_params) -> _dt.date | None:
+                             lookback_days: int = LOOKBACK_DAYS, raw_partition_col: str | None = None,
+                             **rollup_params) -> _dt.date | None:
     """Build or incrementally refresh ``int_generation_daily`` at ``path``.
 
     Returns the cutoff used (None for a full build).
     """
     cutoff = lookback_cutoff(spark, path, "date", lookback_days)
-    rollup = intermediate.generation_rollup(since(hourly, "datetime_utc", cutoff), **rollup_params)
+    rollup = intermediate.generation_rollup(
+        since(hourly, "datetime_utc", cutoff, partition_col=raw_partition_col), **rollup_params)
     upsert(spark, intermediate.int_generation_daily(rollup), path,
            ["country_code", "date", "energy_category"])
     return cutoff
@@ -123,7 +130,8 @@ def refresh_generation_daily(spark: SparkSession, hourly: DataFrame, path: str,
 
 def refresh_weather_generation(spark: SparkSession, hourly: DataFrame, weather: DataFrame,
                                path: str, lookback_days: int = LOOKBACK_DAYS,
-                               n: int = ROLLING_ROWS, **rollup_params) -> _dt.date | None:
+                               n: int = ROLLING_ROWS, raw_partition_col: str | None = None,
+                               **rollup_params) -> _dt.date | None:
     """Build or incrementally refresh ``int_weather_generation`` at ``path``.
 
     The slice on/after the cutoff is recomputed from hourly rows; the ``n-1``
@@ -131,7 +139,8 @@ def refresh_weather_generation(spark: SparkSession, hourly: DataFrame, weather:
     z-scores equal those of a full rebuild.
     """
     cutoff = lookback_cutoff(spark, path, "date", lookback_days)
-    rollup = intermediate.generation_rollup(since(hourly, "datetime_utc", cutoff), **rollup_params)
+    rollup = intermediate.generation_rollup(
+        since(hourly, "datetime_utc", cutoff, partition_col=raw_partition_col), **rollup_params)
     fresh = intermediate.weather_daily_generation(rollup)
     wx = weather.select("country_code", "date", *intermediate.WEATHER_COLUMNS)
     fresh = fresh.join(wx, ["country_code", "date"], "left").withColumn("_ctx", F.lit(False))

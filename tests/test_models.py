@@ -217,3 +217,11 @@ def test_freshness_levels(spark, age_hours, expected):
     df = spark.createDataFrame([(as_of - dt.timedelta(hours=age_hours),)], "_loaded_at timestamp")
     out = Q.freshness(df, "_loaded_at", as_of, 1, 2).first()
     assert out.status == expected and out.age_hours == float(age_hours)
+
+
+def test_preview_and_load_profile(spark):
+    from gridmix.operators.aggregates import distinct_values, load_profile, preview
+    df = spark.createDataFrame([("DE", 2024), ("FR", 2020), ("DE", 2025)], "c string, y bigint")
+    assert preview(df, 2).count() == 2
+    assert rows(load_profile(df, "c", "y")) == [(3, 2, 2020, 2025)]
+    assert rows(distinct_values(df, "c")) == [("DE",), ("FR",)]
