@@ -93,9 +93,10 @@ def freshness(df: DataFrame, ts_col: str, as_of, warn_days: float, error_days: f
     and ``status``. An empty source is an error.
     """
     keys = keys or []
-    if isinstance(as_of, str):
-        as_of = _dt.datetime.fromisoformat(as_of)
-    as_of_col = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, _dt.datetime) else as_of
+    if isinstance(as_of, _dt.datetime):
+        as_of = as_of.replace(tzinfo=None).isoformat(sep=" ")
+    # Text literal -> timestamp_ntz: no dependence on the Python process's zone.
+    as_of_col = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
     newest = df.groupBy(*keys).agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("max_loaded_at"))
     age_s = (F.unix_micros(as_of_col.cast("timestamp")) -
              F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / F.lit(1_000_000)

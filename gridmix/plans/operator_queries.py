@@ -118,8 +118,9 @@ def _incremental_upsert(m: Models) -> DataFrame:
     """An older target (data up to 10 days before the end) merged with the
     lookback slice of the current data equals the full rebuild."""
     newest = max_date(m.daily)
-    older = m.hourly.filter(F.col("datetime_utc") < F.lit(
-        _dt.datetime.combine(newest - _dt.timedelta(days=10), _dt.time())).cast("timestamp_ntz"))
+    older_than = (newest - _dt.timedelta(days=10)).isoformat()
+    older = m.hourly.filter(F.col("datetime_utc") < F.lit(f"{older_than} 00:00:00")
+                            .cast(m.hourly.schema["datetime_utc"].dataType))
     target = I.int_generation_daily(I.generation_rollup(
         older, category_map=standins.STANDIN_CATEGORY_MAP,
         wind_types=standins.STANDIN_WIND_TYPES, solar_types=standins.STANDIN_SOLAR_TYPES))

@@ -68,8 +68,11 @@ def since(df: DataFrame, ts_col: str, cutoff: _dt.date | None, is_timestamp: boo
     if partition_col is not None:
         df = df.filter(F.col(partition_col) >= F.lit(cutoff))
     if is_timestamp:
-        bound = _dt.datetime.combine(cutoff, _dt.time())
-        return df.filter(F.col(ts_col) >= F.lit(bound).cast(df.schema[ts_col].dataType))
+        # A text literal cast to the column's own type: midnight of the cutoff day
+        # in the session time zone (or zone-free for timestamp_ntz), independent
+        # of the Python process's local zone.
+        bound = F.lit(f"{cutoff.isoformat()} 00:00:00").cast(df.schema[ts_col].dataType)
+        return df.filter(F.col(ts_col) >= bound)
     return df.filter(F.col(ts_col) >= F.lit(cutoff))
 
 
