@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +34,12 @@ from gridmix.session import ensure_checkpoint_dir
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath.suffix("/_SUCCESS")) or (
-        fs.exists(hpath) and len(fs.listStatus(hpath)) > 0)
+    """True when ``path`` holds a readable Parquet table (lists files, reads no rows)."""
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException:
+        return False
 
 
 def max_date(df: DataFrame, date_col: str = "date"):
