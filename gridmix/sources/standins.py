@@ -52,6 +52,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
+_LANDED: dict[tuple, DataFrame] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A raw stand-in table, landed once per session and input folder.
+
+    In a deployment the raw tables (hourly generation, daily weather, yearly
+    statistics) are stored by the ingestion layer and every model reads them.
+    The stand-ins are derived from the driver's tables the first time they are
+    needed, written to the shared checkpoint folder and read from there
+    afterwards; the driver's tables are read-only, so the landed copy cannot go
+    stale. Without a shared folder the derivation is returned unmaterialized.
+    """
+    from gridmix.sources.sinks import materialize
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _LANDED:
+        _LANDED[key] = materialize(build(spark, sf_dir), f"landed-{name}")
+    return _LANDED[key]
+
+
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
