@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmix.session import session_key
+
 # Largest dimension we are willing to ship to every executor, in rows. The
 # dimensions gridmix joins have a few dozen rows; anything larger than this is
 # left to the planner.
@@ -24,7 +26,7 @@ _CHECKED: dict[tuple, bool] = {}
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (session_key(df.sparkSession), df.semanticHash(), tuple(df.inputFiles()), max_rows)
     small = _CHECKED.get(key)
     if small is None:
         small = df.limit(max_rows + 1).count() <= max_rows

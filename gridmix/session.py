@@ -49,6 +49,13 @@ def get_session(
     return spark
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a session for per-session memo tables: the application id
+    changes when a context is stopped and a new one started, so entries made
+    for a stopped session are never handed out again."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def scratch_dir(spark: SparkSession) -> str | None:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
 

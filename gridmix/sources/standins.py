@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from gridmix.functions.numeric import exact_avg, exact_sum, round_half_up, safe_ratio
 from gridmix.operators.joins import bounded_broadcast
+from gridmix.session import session_key
 
 # FIXED VALUES of the stand-in mapping: part type -> energy category.
 STANDIN_CATEGORY_MAP = {
@@ -46,7 +47,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table ``name`` (the file listing and footer read happen once per session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
@@ -66,7 +67,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     stale. Without a shared folder the derivation is returned unmaterialized.
     """
     from gridmix.sources.sinks import materialize
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _LANDED:
         _LANDED[key] = materialize(build(spark, sf_dir), f"landed-{name}")
     return _LANDED[key]
