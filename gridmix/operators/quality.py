@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmix.functions.calendar import as_date
 from gridmix.functions.numeric import round_half_up, safe_ratio
 from gridmix.operators.sets import date_spine, grid, missing_keys
 
@@ -169,5 +168,5 @@ def column_checks(df: DataFrame, table: str, not_null_cols: list = (),
 __all__ = [
     "not_null", "unique", "accepted_values", "in_range", "non_negative", "ratio_above",
     "min_rows", "date_gaps", "grid_gaps", "coverage_gaps", "freshness", "Check", "report",
-    "column_checks", "as_date",
+    "column_checks",
 ]

@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 from gridmix.constants import OWID_COLUMNS, WEATHER_FIELDS
 from gridmix.functions.calendar import date_parts, period, season, utc_day, year_of
 from gridmix.functions.classify import classify
-from gridmix.functions.numeric import masked_avg, round_half_up, safe_ratio, share_pct
+from gridmix.functions.numeric import masked_avg, round_half_up, safe_ratio
 from gridmix.operators import aggregates as A
 from gridmix.operators import quality as Q
 from gridmix.operators import sets as S
 from gridmix.operators import windows as W
 from gridmix.operators.joins import (
-    bounded_broadcast, fan_out, join_detail_to_aggregate, lookup, semi_filter,
+    bounded_broadcast, fan_out, join_detail_to_aggregate, semi_filter,
 )
 from gridmix.plans import intermediate as I
 from gridmix.plans import marts as M
 from gridmix.plans import oracle_sql as O
 from gridmix.plans.catalog import Models
-from gridmix.plans.oracle_sql import ES, EA, FS, MONTH, R, REN, SHARE, YEAR, with_ctes
+from gridmix.plans.oracle_sql import ES, MONTH, R, YEAR, with_ctes
 from gridmix.plans.registry import register
 from gridmix.sources import standins
 from gridmix.sources.readers import project_available, recent_days, scope_filter, zip_arrays_to_rows

@@ -27,7 +27,6 @@ def hourly(spark, rows):
 def daily(spark, rows):
     """rows: (country, 'YYYY-MM-DD', energy_category, generation, load)."""
     from gridmix.functions.calendar import season
-    from pyspark.sql import functions as F
     df = spark.createDataFrame([(c, d(x), cat, float(g), float(l) if l is not None else None)
                                 for c, x, cat, g, l in rows],
                                "country_code string, date date, energy_category string, "

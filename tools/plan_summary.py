@@ -64,9 +64,6 @@ def main() -> None:
     print("\n## Daily rollup (the only aggregation of the large input)\n")
     print("```")
     print(text.split("\n\n")[0].strip())
-    for line in text.splitlines():
-        if line.startswith(("PushedFilters", "ReadSchema", "Location")) and "lineitem" in text:
-            pass
     scan = text[text.find("(1) Scan parquet"):]
     print()
     print("\n".join(scan.splitlines()[:6]))
