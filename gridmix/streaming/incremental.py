@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from gridmix.constants import LOOKBACK_DAYS, ROLLING_ROWS
 from gridmix.functions.calendar import utc_day
-from gridmix.operators.joins import bounded_broadcast
 from gridmix.plans import intermediate
 from gridmix.session import ensure_checkpoint_dir
 
@@ -104,12 +103,13 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list,
          .partitionBy(partition_col).parquet(path))
         return
     staged_updates = _stage(spark, updates)
-    touched = staged_updates.select(partition_col).distinct()
+    # The touched partition values: one per day of the slice, bounded by the
+    # calendar (a few days per run, a few thousand for a multi-year backfill).
+    # As a literal IN-list they prune the target's partitions statically, so
+    # only the touched date folders are listed and read.
+    touched = [r[0] for r in staged_updates.select(partition_col).distinct().collect()]
     target = spark.read.parquet(path)
-    # Semi-join on the partition column: ``touched`` holds one row per day of
-    # the slice (bounded by the calendar), so it is broadcast and the target
-    # scan gets dynamic partition pruning.
-    target_slice = target.join(bounded_broadcast(touched), partition_col, "left_semi")
+    target_slice = target.filter(F.col(partition_col).isin(touched))
     merged = _stage(spark, merge_on_keys(target_slice, staged_updates, keys))
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (merged.select(*target.columns).repartition(partition_col).write.mode("overwrite")
