@@ -93,7 +93,12 @@ def int_weather_generation(rollup: DataFrame, weather: DataFrame,
 
 
 def country_year_shares(daily: DataFrame) -> DataFrame:
-    """Per (country_code, year): renewable share, fossil score, total generation and load."""
+    """Per (country_code, year): renewable share, fossil score, total generation and load.
+
+    ``total_load_mwh`` sums the daily category rows' mean hourly load, so a day
+    counts its load once per category present (up to four times), exactly as
+    the original model does; no other definition is documented for it.
+    """
     return (daily.withColumn("year", year_of("date"))
             .groupBy("country_code", "year")
             .agg(share_pct("generation_mwh", is_renewable()).alias("renewable_share_pct"),
