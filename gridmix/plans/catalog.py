@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridmix.plans import intermediate, marts, staging
 from gridmix.sources import standins
@@ -20,7 +21,8 @@ class Models:
     """Lazily built models over one scale-factor folder.
 
     With ``materialize`` the raw stand-ins (hourly generation, daily weather,
-    yearly statistics) are landed once per session like stored raw tables
+    yearly statistics) and the seed stand-ins (reference, groups, crosswalk)
+    are landed once per session like stored raw tables and seeds
     (``standins.landed``), and the daily rollup of each query (one row per
     country, day, category: small next to the hourly input) is written once to
     the shared checkpoint folder and read by every downstream model, like the
@@ -61,15 +63,15 @@ class Models:
 
     @cached_property
     def reference(self) -> DataFrame:
-        return staging.stg_country_reference(standins.country_reference(self.spark, self.sf_dir))
+        return staging.stg_country_reference(self._raw("reference", standins.country_reference))
 
     @cached_property
     def groups(self) -> DataFrame:
-        return standins.group_membership(self.spark, self.sf_dir)
+        return self._raw("groups", standins.group_membership)
 
     @cached_property
     def xwalk(self) -> DataFrame:
-        return standins.crosswalk(self.spark, self.sf_dir)
+        return self._raw("xwalk", standins.crosswalk)
 
     # ---- intermediate ------------------------------------------------------
     @cached_property
@@ -123,11 +125,15 @@ class Models:
     def resilience(self) -> DataFrame:
         return marts.mart_resilience_score(self.profile, self.group_metrics, self.independence)
 
+    def members(self, group: str) -> DataFrame:
+        """country_code of every member of ``group`` (an IN-list given as a table)."""
+        return self.groups.filter(F.col("group_name") == group).select("country_code")
+
     def focus(self) -> DataFrame:
-        return standins.group_members(self.spark, self.sf_dir, standins.STANDIN_FOCUS_GROUP)
+        return self.members(standins.STANDIN_FOCUS_GROUP)
 
     def baseline(self) -> DataFrame:
-        return standins.group_members(self.spark, self.sf_dir, standins.STANDIN_BASELINE_GROUP)
+        return self.members(standins.STANDIN_BASELINE_GROUP)
 
     @cached_property
     def event_story(self) -> DataFrame:
