@@ -30,10 +30,13 @@ class Models:
     recomputes everything from the driver's tables.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True,
+                 share_rollup: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
+        # Write the rollup only when the query reads it more than once.
+        self.share_rollup = materialize and share_rollup
 
     # ---- raw / staged inputs -------------------------------------------------
     def _raw(self, name: str, build) -> DataFrame:
@@ -82,7 +85,7 @@ class Models:
             wind_types=standins.STANDIN_WIND_TYPES,
             solar_types=standins.STANDIN_SOLAR_TYPES,
         )
-        return materialize(df, "daily-rollup") if self.materialize else df
+        return materialize(df, "daily-rollup") if self.share_rollup else df
 
     @cached_property
     def daily(self) -> DataFrame:

@@ -230,7 +230,7 @@ def _join_weather(m: Models) -> DataFrame:
                     ["country_code", "date"], "left")
 
 
-@register("join_detail_to_aggregate", O.model("weather_correlation"))
+@register("join_detail_to_aggregate", O.model("weather_correlation"), reuses_rollup=True)
 def _join_detail(m: Models) -> DataFrame:
     """Daily detail re-joined to its (country, season, year) aggregate."""
     wg = m.weather_generation
@@ -241,14 +241,14 @@ def _join_detail(m: Models) -> DataFrame:
 
 @register("delta_from_baseline", with_ctes(
     "SELECT country_code, date, renewable_share_pct, core_avg_renewable_pct, "
-    "delta_from_core_baseline FROM event_story", "event_story"))
+    "delta_from_core_baseline FROM event_story", "event_story"), reuses_rollup=True)
 def _delta_baseline(m: Models) -> DataFrame:
     """Focus share minus the baseline share of the same date."""
     return m.event_story.select("country_code", "date", "renewable_share_pct",
                                 "core_avg_renewable_pct", "delta_from_core_baseline")
 
 
-@register("resilience_score", O.model("resilience"))
+@register("resilience_score", O.model("resilience"), reuses_rollup=True)
 def _resilience(m: Models) -> DataFrame:
     """Chain of left joins and the weighted composite score."""
     return m.resilience
@@ -488,7 +488,7 @@ def _spine(m: Models) -> DataFrame:
     "FROM daily GROUP BY country_code) b, LATERAL unnest(range(0, total_days + 1)) AS t(i)) s "
     "LEFT JOIN (SELECT DISTINCT country_code, date FROM daily) a "
     "ON s.country_code = a.country_code AND s.expected_date = a.date WHERE a.date IS NULL",
-    "daily"))
+    "daily"), reuses_rollup=True)
 def _gaps(m: Models) -> DataFrame:
     """Days missing inside each country's date range."""
     return Q.date_gaps(m.daily, ["country_code"], "date")
@@ -553,7 +553,7 @@ def _date_arith(m: Models) -> DataFrame:
 
 @register("target_progress", with_ctes(
     "SELECT country_code, year, pct_progress_toward_2030_target, gap_to_2030_target_pct "
-    "FROM independence", "independence"))
+    "FROM independence", "independence"), reuses_rollup=True)
 def _progress(m: Models) -> DataFrame:
     """progress and gap to target; NULL target -> NULL."""
     return m.independence.select("country_code", "year", "pct_progress_toward_2030_target",
@@ -561,7 +561,7 @@ def _progress(m: Models) -> DataFrame:
 
 
 @register("emissions_avoided", with_ctes(
-    "SELECT country_code, year, co2_avoided_tonnes FROM independence", "independence"))
+    "SELECT country_code, year, co2_avoided_tonnes FROM independence", "independence"), reuses_rollup=True)
 def _emissions(m: Models) -> DataFrame:
     """avoided emissions against a 300 g/kWh baseline."""
     return m.independence.select("country_code", "year", "co2_avoided_tonnes")
@@ -645,7 +645,7 @@ def _report_sql() -> str:
     return with_ctes(" UNION ALL ".join(parts), "daily", "profile", "weather")
 
 
-@register("dq_report", _report_sql())
+@register("dq_report", _report_sql(), reuses_rollup=True)
 def _dq_report(m: Models) -> DataFrame:
     """Q4: check report with severities (error / warn) and pass/fail status."""
     d = m.daily

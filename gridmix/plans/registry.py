@@ -17,10 +17,12 @@ Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, reuses_rollup: bool = False):
+    """Register a query. ``reuses_rollup`` marks plans that read the daily
+    rollup more than once; only those write it to the shared folder first."""
     def deco(fn: Callable[[Models], DataFrame]):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Models(spark, sf_dir))
+            return fn(Models(spark, sf_dir, share_rollup=reuses_rollup))
         build.__name__ = name
         build.__doc__ = fn.__doc__
         REGISTRY[name] = (build, sql)
@@ -90,25 +92,25 @@ def _mart_weather_correlation(m: Models) -> DataFrame:
     return m.weather_correlation
 
 
-@register("mart_country_independence", O.model("independence"))
+@register("mart_country_independence", O.model("independence"), reuses_rollup=True)
 def _mart_country_independence(m: Models) -> DataFrame:
     """M11 independence days, target progress, CO2 avoided."""
     return m.independence
 
 
-@register("mart_fossil_dependency", O.model("fossil_dependency"))
+@register("mart_fossil_dependency", O.model("fossil_dependency"), reuses_rollup=True)
 def _mart_fossil_dependency(m: Models) -> DataFrame:
     """M12 monthly fossil exposure with group context."""
     return m.fossil_dependency
 
 
-@register("mart_resilience_score", O.model("resilience"))
+@register("mart_resilience_score", O.model("resilience"), reuses_rollup=True)
 def _mart_resilience_score(m: Models) -> DataFrame:
     """M13 composite resilience score."""
     return m.resilience
 
 
-@register("mart_event_story", O.model("event_story"))
+@register("mart_event_story", O.model("event_story"), reuses_rollup=True)
 def _mart_event_story(m: Models) -> DataFrame:
     """M14 before/after event study against a baseline group."""
     return m.event_story
