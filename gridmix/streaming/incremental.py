@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from gridmix.constants import LOOKBACK_DAYS, ROLLING_ROWS
 from gridmix.functions.calendar import utc_day
 from gridmix.plans import intermediate
-from gridmix.session import ensure_checkpoint_dir
+from gridmix.session import scratch_dir
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -85,7 +85,10 @@ def merge_on_keys(target: DataFrame, updates: DataFrame, keys: list) -> DataFram
 
 def _stage(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage)."""
-    root = ensure_checkpoint_dir(spark)
+    root = scratch_dir(spark)
+    if root is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: the upsert stages "
+                           "its merged slice there before overwriting the target partitions")
     path = f"{root.rstrip('/')}/gridmix-stage-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
