@@ -36,7 +36,7 @@ def main() -> None:
     from gridmix.plans.registry import queries
 
     spark = get_session(
-        app="gridmix-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
+        app="gridmix-bench", master=f"local[{cpus}]", shuffle_partitions=cpus,
         conf={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
