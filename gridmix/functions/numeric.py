@@ -55,12 +55,20 @@ def exact_sum(c, cond: Column | None = None) -> Column:
 
 
 def fine_sum(c) -> Column:
-    """SUM of a derived double (e.g. a mean) through a decimal with 10 fractional digits.
-
-    Used where the summed values are not 2-decimal measures, so ``exact_sum``
-    would round them; the 10-digit decimal keeps the sum order-independent.
+    """SUM of a derived double (e.g. a daily mean) that is the same on any
+    engine and any partitioning: the group's values are added in ascending
+    order, left to right, in plain double arithmetic. NULLs are skipped; a
+    group without values gives NULL.
+
+    The values of a group are gathered into one array, so this is only for
+    groups whose size is bounded by the calendar (the daily rows of one
+    country-year or country-month), never for raw rows. Measures with two
+    decimals use ``exact_sum`` instead.
     """
-    return F.sum(_col(c).cast("decimal(38,10)")).cast("double")
+    x = _col(c)
+    ordered = F.array_sort(F.collect_list(x))
+    return F.when(F.count(x) > 0,
+                  F.aggregate(ordered, F.lit(0.0), lambda acc, v: acc + v))
 
 
 def exact_avg(c) -> Column:
