@@ -13,6 +13,7 @@ freshness rules and returns one report DataFrame.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,9 @@ from gridmix.plans import marts as M
 from gridmix.plans import staging
 from gridmix.sources.readers import read_generation, read_owid, read_parquet, read_weather_json
 from gridmix.sources.sinks import layer_path, write_table
-from gridmix.streaming.incremental import refresh_generation_daily, refresh_weather_generation
+from gridmix.streaming.incremental import (
+    refresh_generation_daily, refresh_weather_generation, since,
+)
 
 
 @dataclass
@@ -79,9 +82,18 @@ def _with_missing(annual_raw: DataFrame) -> DataFrame:
 
 
 def build_models(spark: SparkSession, raw: RawInputs, out_root: str,
-                 lookback_days: int = 3) -> dict[str, str]:
-    """Run all models; returns ``{model name: table path}``."""
+                 lookback_days: int = 3, dev_days: int | None = None,
+                 as_of: _dt.date | None = None) -> dict[str, str]:
+    """Run all models; returns ``{model name: table path}``.
+
+    ``dev_days`` turns on the development sample: only hourly rows of the last
+    ``dev_days`` days before ``as_of`` (default: today, UTC) feed the daily
+    tables. The bound is a literal on the raw timestamp, pushed into the scan.
+    """
     s = staged_inputs(spark, raw)
+    if dev_days is not None:
+        anchor = as_of or _dt.datetime.now(_dt.timezone.utc).date()
+        s["hourly"] = since(s["hourly"], "datetime_utc", anchor - _dt.timedelta(days=dev_days))
     paths: dict[str, str] = {}
 
     def put(name: str, layer: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:

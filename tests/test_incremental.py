@@ -92,3 +92,10 @@ def test_weather_generation_incremental_equals_full(spark, tmp_dir):
     assert len(a) == len(b) == 2 * days
     assert a == b
     assert any(r.is_wind_anomaly for r in inc.collect())
+
+
+def test_dev_sample_keeps_last_days(spark):
+    from gridmix.streaming.incremental import since
+    h = hourly(spark, [("DE", f"{_day(i)} 12:00", "Solar", 1, 1) for i in range(1, 11)])
+    kept = since(h, "datetime_utc", d(_day(10)) - dt.timedelta(days=3))
+    assert sorted(r.datetime_utc.day for r in kept.collect()) == [7, 8, 9, 10]
