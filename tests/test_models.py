@@ -225,3 +225,11 @@ def test_preview_and_load_profile(spark):
     assert preview(df, 2).count() == 2
     assert rows(load_profile(df, "c", "y")) == [(3, 2, 2020, 2025)]
     assert rows(distinct_values(df, "c")) == [("DE",), ("FR",)]
+
+
+def test_column_checks_one_pass(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), (None, "bad")], "k string, c string")
+    got = {(r.check_name, r.column_name): r.failures
+           for r in Q.column_checks(df, "t", ["k", "c"], {"c": ["x"]}, ["k"]).collect()}
+    assert got == {("not_null", "k"): 1, ("not_null", "c"): 1,
+                   ("accepted_values", "c"): 1, ("unique", "k"): 1}
