@@ -54,3 +54,16 @@ def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
         assert "BroadcastExchange" in plan(big.join(bounded_broadcast(small, max_rows=10), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rollup_pre_aggregates_before_its_shuffle_with_a_hot_key(spark):
+    # One country holds half of all rows: the partial aggregate reduces it per
+    # task before the only exchange, and the result equals the plain sums.
+    rows = [("HOT", f"2025-01-0{1 + i % 3} {i % 24:02d}:00", "Solar", 1, 10) for i in range(300)]
+    rows += [(f"C{i % 30}", f"2025-01-0{1 + i % 3} 00:00", "Nuclear", 2, 10) for i in range(300)]
+    roll = I.generation_rollup(hourly(spark, rows).repartition(8))
+    text = plan(roll)
+    tree = text.split("\n\n")[0]
+    assert tree.count("HashAggregate") >= 2 and "partial_sum" in text
+    hot = {r.date.day: r.generation_mwh for r in roll.filter(F.col("country_code") == "HOT").collect()}
+    assert hot == {1: 100.0, 2: 100.0, 3: 100.0}
