@@ -1,6 +1,6 @@
 """Every registered query vs its DuckDB oracle on the smallest driver tables.
 
-Same comparison as the driver's correctness gate (column names, row count,
+Same comparison as the driver's correctness gate (column names and types, row count,
 order-insensitive values), run at sf0.001 to keep the suite fast;
 ``tools/oracle_check.py`` runs it at any scale factor.
 """

@@ -52,21 +52,34 @@ def rows_of(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+# DuckDB result type -> Spark simple type string (anything else is a mismatch).
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
 def compare(spark, con, name, build, sql, sf_dir):
     t0 = time.time()
     sdf = build(spark, sf_dir)
     s_rows = sdf.collect()
     t1 = time.time()
     s_cols = sdf.columns
+    s_types = dict(sdf.dtypes)
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     t2 = time.time()
     status = "OK"
     detail = ""
+    type_diff = [(c, s_types.get(c), d_types.get(c)) for c in d_cols
+                 if DUCK_TO_SPARK.get(d_types.get(c)) != s_types.get(c)]
     if sorted(s_cols) != sorted(d_cols):
         status = "SCHEMA"
         detail = f"spark={sorted(s_cols)} duck={sorted(d_cols)}"
+    elif type_diff:
+        status = "TYPES"
+        detail = f"{type_diff}"
     elif len(s_rows) != len(d_rows):
         status = "ROWS"
         detail = f"spark={len(s_rows)} duck={len(d_rows)}"
