@@ -18,10 +18,10 @@ _QUALITY = rf"""
 WITH words AS (
   SELECT doc_id, coalesce(text, '') AS body,
          regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \t-\r]')) AS k
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS k
   FROM documents
 ), hashed AS (
-  SELECT *, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> hash(w[i:i + 4])) ELSE [] END AS h
+  SELECT *, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: hash(w[i:i + 4])) ELSE [] END AS h
   FROM words
 ), repeated AS (
   SELECT doc_id, count(DISTINCT spot) AS n FROM (
@@ -35,7 +35,7 @@ WITH words AS (
          CAST(length(body) - length(translate(body, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
          CAST(len(k) - len(list_distinct(k)) AS BIGINT) AS n_dup_lines,
          coalesce(n, 0) AS n_repeat_words, len(k) AS n_lines,
-         CAST(len(list_filter(w, x -> regexp_extract(lower(x), '^([^.,;:?]*)') IN ({_STOPS}))) AS BIGINT) AS n_stop_words
+         CAST(len(list_filter(w, lambda x: regexp_extract(lower(x), '^([^.,;:?]*)') IN ({_STOPS}))) AS BIGINT) AS n_stop_words
   FROM hashed LEFT JOIN repeated USING (doc_id)
 ), based AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted

@@ -28,7 +28,7 @@ from gridmix.llm.common import file_bytes, pick, stored, text_runs
 from gridmix.llm.word_bpe import WordBpe
 
 #: Pieces that one task ranks together.
-BLOCK = 50_000
+BLOCK = 2_000
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 _ENCODER: dict[int, WordBpe] = {}

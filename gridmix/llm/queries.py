@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import packing, quality_rules
+from gridmix.llm import block_search, hilbert_sharding, packing, quality_rules, simhash_dedup
 from gridmix.llm.common import configure, table, vocabulary
 from gridmix.llm.oracle import ORACLES
 
@@ -39,6 +39,27 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+@query
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash_dedup.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 runs of the curve, as many rows in each."""
+    placed = hilbert_sharding.shards(table(spark, sf_dir, "documents"), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@query
+def op7_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector among all vectors."""
+    return block_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
