@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import block_search, hilbert_sharding, packing, quality_rules, simhash_dedup
-from gridmix.llm.common import configure, table, vocabulary
+from gridmix.llm import (
+    block_search,
+    byte_bpe,
+    hilbert_sharding,
+    packing,
+    quality_rules,
+    simhash_dedup,
+    token_counts,
+    url_filter,
+)
+from gridmix.llm.common import configure, stored, table, vocabulary
 from gridmix.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +48,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and truncated totals of all documents for every occurring length."""
+    import public_tokenizers
+
+    counts = token_counts.histogram(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"),
+                                    public_tokenizers.PATTERN)
+    return token_counts.suffix_sums(stored(counts, "lengths"))
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return url_filter.verdicts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
@@ -60,6 +85,18 @@ def op7_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and what they decode to, as digests."""
+    import public_tokenizers
+
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    both = byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

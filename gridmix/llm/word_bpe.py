@@ -67,26 +67,21 @@ class WordBpe:
             for p, own in zip(some, ids):
                 self.parts[p] = b"".join([i.to_bytes(4, "little") for i in own])
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > self.most:
-            self.words = {}
-        if len(self.parts) > self.most:
-            self.parts = {}
-        cut = [(w, self.pieces(w)) for w in words]
-        self._merge(list({p for _, parts in cut for p in parts} - self.parts.keys()))
-        known = self.parts
-        for w, parts in cut:
-            self.words[w] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
         lists = [self.normal(t) for t in texts]
-        known = self.words
-        new = set().union(*lists)
-        if not new <= known.keys():
-            need = new - known.keys()
-            if len(known) + len(need) > self.most:
-                need = new  # the cache starts anew and has to hold all words of these texts
-            self._learn(need)
-            known = self.words
-        return [b"".join([known[w] for w in ws]) for ws in lists]
+        words, parts = self.words, self.parts
+        new = set().union(*lists).difference(words)
+        cut = [(w, self.pieces(w)) for w in new]
+        new_parts = {p for _, own in cut for p in own}.difference(parts)
+        self._merge(list(new_parts))
+        for w, own in cut:
+            words[w] = parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own])
+        out = [b"".join([words[w] for w in ws]) for ws in lists]
+        if len(words) > self.most:  # the words met first, the frequent ones, stay
+            for w in new:
+                del words[w]
+        if len(parts) > self.most:
+            for p in new_parts:
+                del parts[p]
+        return out
