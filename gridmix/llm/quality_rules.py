@@ -133,12 +133,29 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int = 10, m
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     measured = source.select("doc_id", counts(F.col("text")).alias("c"))
     c = F.col("c")
-    failed = F.filter(F.array(*[F.when(~holds(r, c), F.lit(r.name)) for r in rules] or [F.lit(None).cast("string")]),
-                      lambda x: x.isNotNull())
-    base_failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > max_repeat_percent * c["n_words"])
+    failed, base_failed = compiled(rules, c), base(c, min_words, max_repeat_percent)
     return measured.select(
         "doc_id", c["n_words"].alias("n_words"), c["word_chars"].alias("word_chars"),
         c["n_symbols"].alias("n_symbols"), c["n_dup_lines"].alias("n_dup_lines"),
         c["n_repeat_words"].alias("n_repeat_words"), base_failed.alias("base_failed"),
         (~base_failed & (F.size(failed) == 0)).alias("kept"),
         c["n_lines"].alias("n_lines"), c["n_stop_words"].alias("n_stop_words"), failed.alias("failed_rules"))
+
+
+def compiled(rules: Sequence[Rule], values: Column) -> Column:
+    """The names of the rules that fail, in the table's order."""
+    names = [F.when(~holds(r, values), F.lit(r.name)) for r in rules]
+    return F.filter(F.array(*names), lambda x: x.isNotNull()) if names else F.array().cast("array<string>")
+
+
+def base(values: Column, min_words: int, max_repeat_percent: int) -> Column:
+    return (values["n_words"] < min_words) | (100 * values["n_repeat_words"] > max_repeat_percent * values["n_words"])
+
+
+def without_poor(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int = 10, max_repeat_percent: int = 20,
+                 text_col: str = "text") -> DataFrame:
+    """``docs`` as it is, without the rows that fail the base rule or a rule."""
+    c = F.col("_counts")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.withColumn("_counts", counts(text)).where(
+        ~base(c, min_words, max_repeat_percent) & (F.size(compiled(rules, c)) == 0)).drop("_counts")

@@ -11,10 +11,12 @@ from gridmix.llm import (
     block_search,
     byte_bpe,
     hilbert_sharding,
+    html_extract,
     packing,
     quality_rules,
     simhash_dedup,
     token_counts,
+    toxicity,
     url_filter,
 )
 from gridmix.llm.common import configure, stored, table, vocabulary
@@ -85,6 +87,23 @@ def op7_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, from labels of rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.scores(docs, model)
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                        "n_offending", "worst_start", "worst_end")
+
+
+@query
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and what they decode to, as digests."""
