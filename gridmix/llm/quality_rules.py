@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,8 +155,11 @@ def base(values: Column, min_words: int, max_repeat_percent: int) -> Column:
 
 def without_poor(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int = 10, max_repeat_percent: int = 20,
                  text_col: str = "text") -> DataFrame:
-    """``docs`` as it is, without the rows that fail the base rule or a rule."""
-    c = F.col("_counts")
+    """``docs`` as it is, without the rows that fail the base rule or a rule.
+
+    The verdict is one expression over counts bound once: a filter on counted
+    columns would be pushed below them, and each use would count anew.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.withColumn("_counts", counts(text)).where(
-        ~base(c, min_words, max_repeat_percent) & (F.size(compiled(rules, c)) == 0)).drop("_counts")
+    return docs.where(let(counts(text), lambda c: reduce(
+        lambda x, y: x & y, [holds(r, c) for r in rules], ~base(c, min_words, max_repeat_percent))))
