@@ -5,13 +5,13 @@ from gridmix.functions.calendar import (
 )
 from gridmix.functions.classify import classify
 from gridmix.functions.numeric import (
-    exact, exact_avg, exact_sum, masked_avg, round_half_up, safe_corr, safe_ratio, share_of, share_pct,
+    exact, exact_avg, exact_sum, masked_avg, round_half_up, safe_corr, safe_ratio, share_pct,
 )
 from gridmix.functions.scores import delta, emissions_avoided, resilience, target_gap, target_progress
 
 __all__ = [
     "as_date", "date_parts", "days_before", "month_num_of", "month_start", "period", "season",
     "utc_day", "year_of", "classify", "exact", "exact_avg", "exact_sum", "masked_avg",
-    "round_half_up", "safe_corr", "safe_ratio", "share_of", "share_pct", "delta",
+    "round_half_up", "safe_corr", "safe_ratio", "share_pct", "delta",
     "emissions_avoided", "resilience", "target_gap", "target_progress",
 ]

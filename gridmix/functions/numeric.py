@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 # the decimal value, identical across engines, instead of half-even/binary
 # artefacts of rounding a double directly.
 ROUND_DECIMAL = "decimal(28,10)"
-# Measures are summed as exact integers of hundredths (ties to even on the
-# third decimal), so a sum does not depend on the order in which partitions are
-# combined and stays a primitive long inside generated code.
-MEASURE_SCALE = 100
+# Measures are summed as whole millionths (of a MWh: watt-hours; ties to even on
+# the seventh decimal), so a sum does not depend on the order in which partitions
+# are combined and stays a primitive long inside generated code. A long holds
+# 9.2e12 units; beyond that ANSI mode raises instead of wrapping.
+MEASURE_SCALE = 1_000_000
 
 
 def _col(c) -> Column:
@@ -34,12 +35,13 @@ def safe_ratio(numerator, denominator) -> Column:
 
 
 def exact(c) -> Column:
-    """Measure as an exact integer count of hundredths (bigint)."""
-    return F.rint(_col(c) * F.lit(MEASURE_SCALE)).cast("bigint")
+    """Measure as a whole number of millionths (bigint). NaN counts as missing (NULL)."""
+    x = _col(c).cast("double")
+    return F.rint(F.when(~F.isnan(x), x) * F.lit(float(MEASURE_SCALE))).cast("bigint")
 
 
 def from_exact(total) -> Column:
-    """Sum of hundredths back to a double measure."""
+    """Sum of millionths back to a double measure."""
     return _col(total) / F.lit(float(MEASURE_SCALE))
 
 
@@ -54,26 +56,9 @@ def exact_sum(c, cond: Column | None = None) -> Column:
     return from_exact(F.sum(value))
 
 
-def fine_sum(c) -> Column:
-    """SUM of a derived double (e.g. a daily mean) that is the same on any
-    engine and any partitioning: the group's values are added in ascending
-    order, left to right, in plain double arithmetic. NULLs are skipped; a
-    group without values gives NULL.
-
-    The values of a group are gathered into one array, so this is only for
-    groups whose size is bounded by the calendar (the daily rows of one
-    country-year or country-month), never for raw rows. Measures with two
-    decimals use ``exact_sum`` instead.
-    """
-    x = _col(c)
-    ordered = F.array_sort(F.collect_list(x))
-    return F.when(F.count(x) > 0,
-                  F.aggregate(ordered, F.lit(0.0), lambda acc, v: acc + v))
-
-
 def exact_avg(c) -> Column:
-    """AVG of a measure from an exact sum and a count of non-NULL values."""
-    return safe_ratio(from_exact(F.sum(exact(c))), F.count(_col(c)))
+    """AVG of a measure from an exact sum and a count of its values."""
+    return safe_ratio(from_exact(F.sum(exact(c))), F.count(exact(c)))
 
 
 def share_pct(value, cond: Column, digits: int = 2) -> Column:
@@ -83,11 +68,6 @@ def share_pct(value, cond: Column, digits: int = 2) -> Column:
     )
 
 
-def share_of(part, total, digits: int = 2) -> Column:
-    """Row-level percentage ``round(part / nullif(total, 0) * 100, digits)``."""
-    return round_half_up(safe_ratio(part, total) * 100, digits)
-
-
 def masked_avg(value, cond: Column) -> Column:
     """AVG over rows where ``cond`` holds (CASE without ELSE); other rows ignored."""
     return exact_avg(F.when(cond, _col(value)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridmix.constants import ANOMALY_Z, ROLLING_ROWS
 from gridmix.functions.calendar import year_of
-from gridmix.functions.numeric import exact_sum, fine_sum, share_pct
+from gridmix.functions.numeric import exact_sum, share_pct
 from gridmix.operators.aggregates import daily_rollup, share_over
 from gridmix.operators.joins import crosswalk as crosswalk_join, fan_out, lookup
 from gridmix.operators.windows import flag_anomaly, group_avg_delta, rank_desc, rolling_zscore
@@ -43,7 +43,7 @@ def int_generation_yearly(daily: DataFrame, annual: DataFrame, xwalk: DataFrame)
     yearly = (daily.withColumn("year", year_of("date"))
               .groupBy("country_code", "year", "energy_category")
               .agg(exact_sum("generation_mwh").alias("generation_mwh"),
-                   fine_sum("load_mwh").alias("load_mwh")))
+                   exact_sum("load_mwh").alias("load_mwh")))
     yearly = share_over(yearly, "generation_mwh", is_renewable(), ["country_code", "year"],
                         out="renewable_share_pct")
     stats = annual.select(
@@ -104,7 +104,7 @@ def country_year_shares(daily: DataFrame) -> DataFrame:
             .agg(share_pct("generation_mwh", is_renewable()).alias("renewable_share_pct"),
                  share_pct("generation_mwh", is_fossil()).alias("fossil_dependency_score"),
                  exact_sum("generation_mwh").alias("total_generation_mwh"),
-                 fine_sum("load_mwh").alias("total_load_mwh")))
+                 exact_sum("load_mwh").alias("total_load_mwh")))
 
 
 def int_country_profile(daily: DataFrame, reference: DataFrame) -> DataFrame:

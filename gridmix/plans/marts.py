@@ -10,7 +10,7 @@ from gridmix.constants import (
     INDEPENDENCE_SHARE, RESILIENCE_WEIGHTS,
 )
 from gridmix.functions.calendar import month_num_of, month_start, period, year_of
-from gridmix.functions.numeric import exact_sum, fine_sum, safe_corr, share_pct
+from gridmix.functions.numeric import exact_sum, safe_corr, share_pct
 from gridmix.functions.scores import (
     delta, emissions_avoided, resilience, target_gap, target_progress,
 )
@@ -33,7 +33,7 @@ def mart_energy_mix(daily: DataFrame) -> DataFrame:
     monthly = (_with_month(daily)
                .groupBy(*MONTH_KEYS, "energy_category", "season")
                .agg(exact_sum("generation_mwh").alias("generation_mwh"),
-                    fine_sum("load_mwh").alias("load_mwh")))
+                    exact_sum("load_mwh").alias("load_mwh")))
     shared = share_over(monthly, "generation_mwh", is_renewable(), ["country_code", "month"],
                         out="renewable_share_pct")
     out = yoy_growth(shared, "renewable_share_pct", ["country_code", "month_num", "energy_category"],

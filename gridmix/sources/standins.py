@@ -6,7 +6,7 @@ joins and aggregates, so the work grows with the data:
 
 * hourly generation: lineitem joined to part (production type = ``p_type``) and
   supplier/nation (country = ``n_name``); time = ``l_shipdate``,
-  generation = ``l_quantity``, load = ``l_extendedprice``.
+  generation = ``l_quantity * (1 + l_discount) / 3``, load = ``l_extendedprice``.
 * daily weather: orders per (region, order date), spread to every nation of the region.
 * annual statistics: orders per (nation, year) with shares of order status and priority.
 * country reference, group membership, crosswalk: nation joined to region.
@@ -89,7 +89,7 @@ def hourly_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     runtime size is small). Only ``nation`` (25 rows) is broadcast by hand.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+        "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -101,7 +101,7 @@ def hourly_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("n_name").alias("country_code"),
                     F.col("l_shipdate").alias("datetime_utc"),
                     F.col("p_type").alias("production_type"),
-                    F.col("l_quantity").alias("generation_mwh"),
+                    (F.col("l_quantity") * (1 + F.col("l_discount")) / 3).alias("generation_mwh"),
                     F.col("l_extendedprice").alias("load_mwh")))
 
 

@@ -33,12 +33,18 @@ from gridmix.session import scratch_dir
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table (lists files, reads no rows)."""
+    """True when ``path`` holds a Parquet table (lists files, reads no rows).
+
+    Only a missing path counts as no table. A table that is there and can't be
+    read raises: taking it for a missing one would overwrite its history.
+    """
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def max_date(df: DataFrame, date_col: str = "date"):

@@ -95,3 +95,15 @@ def test_emissions_avoided_formula(spark):
 
 def test_dates_are_dates(spark):
     assert one(spark, F.date_sub(F.lit(dt.date(2025, 3, 1)), 3)) == dt.date(2025, 2, 26)
+
+
+def test_measures_keep_their_digits(spark):
+    """24 rows of 0.004 and 24 of 0.125: sums and shares below a hundredth are not lost; NaN is missing."""
+    from gridmix.functions.numeric import exact_avg, exact_sum, share_pct
+
+    rows = [("r", 0.004)] * 24 + [("f", 0.125)] * 24 + [("f", float("nan")), ("f", None)]
+    df = spark.createDataFrame(rows, "kind string, mwh double")
+    by_kind = {r["kind"]: r for r in df.groupBy("kind").agg(exact_sum("mwh").alias("s"), exact_avg("mwh").alias("a")).collect()}
+    assert (by_kind["r"]["s"], by_kind["f"]["s"]) == (0.096, 3.0)
+    assert (by_kind["r"]["a"], by_kind["f"]["a"]) == (0.004, 0.125)
+    assert df.agg(share_pct("mwh", df["kind"] == "r").alias("p")).first()["p"] == 3.1
