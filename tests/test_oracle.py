@@ -41,4 +41,5 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     import __spark_entry__ as entry
     df = entry.entry(spark)
-    assert df.count() >= 0 and "resilience_score" in df.columns
+    scores = [r["resilience_score"] for r in df.select("resilience_score").collect()]
+    assert scores and any(s is not None for s in scores)
