@@ -169,6 +169,22 @@ def test_links_of_clusters(spark, limit):
     check_classes([(v, fp, min(by_root[r])) for v, fp, r in found])
 
 
+def test_components(spark):
+    """A path, a star, a cycle, loops, repeated and null ends; least node as root."""
+    from gridmix.llm.components import components
+
+    path = [(i, i + 1) for i in range(100, 160)]
+    star = [(-5, n) for n in range(1000, 1400)] + [(1000, -5)]
+    cycle = [(50, 40), (40, 60), (60, 50)]
+    odd = [(7, 7), (8, None), (None, 9), (2, 1), (1, 2), (2, 1)]
+    edges = spark.createDataFrame(path + star + cycle + odd, "a long, b long")
+    found = components(edges).collect()
+    want = {n: 100 for n in range(100, 161)} | {n: -5 for n in [-5, *range(1000, 1400)]}
+    want |= {40: 40, 50: 40, 60: 40, 1: 1, 2: 1}
+    assert {r["node"]: r["root"] for r in found} == want and len(found) == len(want)
+    assert components(edges.limit(0)).columns == ["node", "root"] and components(edges.limit(0)).isEmpty()
+
+
 def test_sharding_law(docs, plain):
     found = hilbert_sharding.shards(docs, 7).collect()
     assert len(found) == len(plain)
