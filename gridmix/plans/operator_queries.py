@@ -97,6 +97,10 @@ def _zip_arrays(m: Models) -> DataFrame:
                               out_time="measure", keep=["l_orderkey", "l_linenumber"])
 
 
+def _newest_day(hourly: DataFrame) -> _dt.date:
+    return max_date(hourly.select(utc_day("datetime_utc").alias("date")))
+
+
 def _incremental_slice(m: Models, cutoff) -> DataFrame:
     rollup = I.generation_rollup(since(m.hourly, "datetime_utc", cutoff),
                                  category_map=standins.STANDIN_CATEGORY_MAP,
@@ -109,8 +113,10 @@ def _incremental_slice(m: Models, cutoff) -> DataFrame:
     f"SELECT * FROM daily WHERE date >= (SELECT max(date) FROM daily) - INTERVAL {LOOKBACK} DAY",
     "daily"))
 def _incremental_lookback(m: Models) -> DataFrame:
-    """Re-aggregate only the hourly rows of the last N days before MAX(date)."""
-    cutoff = max_date(m.daily) - _dt.timedelta(days=LOOKBACK)
+    """Re-aggregate only the hourly rows of the last N days before MAX(date).
+
+    The newest day is that of the newest hourly row, one column of the scan."""
+    cutoff = _newest_day(m.hourly) - _dt.timedelta(days=LOOKBACK)
     return _incremental_slice(m, cutoff)
 
 
@@ -118,14 +124,14 @@ def _incremental_lookback(m: Models) -> DataFrame:
 def _incremental_upsert(m: Models) -> DataFrame:
     """An older target (data up to 10 days before the end) merged with the
     lookback slice of the current data equals the full rebuild."""
-    newest = max_date(m.daily)
+    newest = _newest_day(m.hourly)
     older_than = (newest - _dt.timedelta(days=10)).isoformat()
     older = m.hourly.filter(F.col("datetime_utc") < F.lit(f"{older_than} 00:00:00")
                             .cast(m.hourly.schema["datetime_utc"].dataType))
     target = I.int_generation_daily(I.generation_rollup(
         older, category_map=standins.STANDIN_CATEGORY_MAP,
         wind_types=standins.STANDIN_WIND_TYPES, solar_types=standins.STANDIN_SOLAR_TYPES))
-    cutoff = max_date(target) - _dt.timedelta(days=LOOKBACK)
+    cutoff = _newest_day(older) - _dt.timedelta(days=LOOKBACK)
     return merge_on_keys(target, _incremental_slice(m, cutoff),
                          ["country_code", "date", "energy_category"])
 

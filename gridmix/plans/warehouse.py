@@ -14,25 +14,27 @@ freshness rules and returns one report DataFrame.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix import seeds
 from gridmix.constants import (
-    BALTIC_COUNTRIES, CATEGORIES, COUNTRIES_ISO2, COUNTRIES_ISO3, CORE_COUNTRIES, FRESHNESS_DAYS,
-    GROUPS, LOAD_RATIO, MIN_ROWS_PER_DAY,
+    BALTIC_COUNTRIES, CATEGORIES, COUNTRIES_ISO2, COUNTRIES_ISO3, CORE_COUNTRIES, END_YEAR,
+    EVENT_LABELS, FRESHNESS_DAYS, GROUPS, LOAD_RATIO, MIN_ROWS_PER_DAY, SEASON_MONTHS, START_YEAR,
+    WEATHER_END, WEATHER_START,
 )
 from gridmix.operators import quality as Q
 from gridmix.plans import intermediate as I
 from gridmix.plans import marts as M
 from gridmix.plans import staging
-from gridmix.sources.readers import read_generation, read_owid, read_parquet, read_weather_json
-from gridmix.sources.sinks import layer_path, write_table
-from gridmix.streaming.incremental import (
-    refresh_generation_daily, refresh_weather_generation, since,
+from gridmix.sources.readers import (
+    read_generation, read_owid, read_parquet, read_weather_json, scope_filter,
 )
+from gridmix.sources.sinks import layer_path, write_table
+from gridmix.streaming.incremental import refresh_daily, since
 
 
 @dataclass
@@ -46,20 +48,55 @@ class RawInputs:
     weather_format: str = "parquet"          # or "json"
     weather_country_pattern: str = r"([A-Z]{2})\.json$"
     annual_format: str = "csv"               # or "parquet"
+    countries: tuple = tuple(COUNTRIES_ISO3)
+    years: tuple = (START_YEAR, END_YEAR)
+    weather_days: tuple = (WEATHER_START, WEATHER_END)
 
 
-def staged_inputs(spark: SparkSession, raw: RawInputs) -> dict[str, DataFrame]:
-    """Staging models (views) plus seeds."""
+#: Column of a raw table that counts the fields of its row that could not be read.
+BAD_VALUES = "_bad_values"
+
+
+def scoped_weather(spark: SparkSession, raw: RawInputs) -> DataFrame:
+    """Raw weather of the days in scope."""
     if raw.weather_format == "json":
-        weather_raw = read_weather_json(spark, raw.weather,
-                                        country_pattern=raw.weather_country_pattern)
+        df = read_weather_json(spark, raw.weather, country_pattern=raw.weather_country_pattern)
     else:
-        weather_raw = read_parquet(spark, raw.weather)
+        df = read_parquet(spark, raw.weather)
+    first, last = (F.lit(d).cast("date") for d in raw.weather_days)
+    return df.filter(F.col("date").between(first, last))
+
+
+def scoped_annual(spark: SparkSession, raw: RawInputs) -> DataFrame:
+    """Raw yearly statistics of the countries and years in scope. A row of such a
+    country with fields that could not be read stays, whatever its year, to be counted."""
     if raw.annual_format == "csv":
-        annual_raw, _missing = read_owid(spark, raw.annual)
+        df, _missing = read_owid(spark, raw.annual, bad_col=BAD_VALUES)
     else:
-        annual_raw = read_parquet(spark, raw.annual)
-    annual_raw = _with_missing(annual_raw)
+        df = read_parquet(spark, raw.annual)
+    in_years = F.col("year").between(*raw.years)
+    if BAD_VALUES in df.columns:
+        in_years = in_years | (F.col("year").isNull() & (F.col(BAD_VALUES) > 0))
+    return scope_filter(df, "iso_code", list(raw.countries)).filter(in_years)
+
+
+def load_raw(spark: SparkSession, landing: RawInputs, out_root: str) -> RawInputs:
+    """Read the landed weather and yearly files, scope them, stamp ``_loaded_at`` and
+    replace the raw tables under ``<out_root>/raw``; returns where they are.
+
+    The hourly table is a raw table already and is not copied.
+    """
+    weather, annual = (layer_path(out_root, "raw", n) for n in ("weather_daily", "owid_energy"))
+    write_table(scoped_weather(spark, landing), weather, loaded_at=True)
+    write_table(scoped_annual(spark, landing), annual, loaded_at=True)
+    return replace(landing, weather=weather, weather_format="parquet", annual=annual,
+                   annual_format="parquet")
+
+
+def staged_inputs(spark: SparkSession, raw: RawInputs) -> dict[str, DataFrame]:
+    """Staging models (views) plus seeds."""
+    weather_raw = scoped_weather(spark, raw)
+    annual_raw = _with_missing(scoped_annual(spark, raw))
     out = {
         "hourly": read_generation(spark, raw.generation),
         "stg_weather_daily": staging.stg_weather(weather_raw),
@@ -89,7 +126,10 @@ def build_models(spark: SparkSession, raw: RawInputs, out_root: str,
     ``dev_days`` turns on the development sample: only hourly rows of the last
     ``dev_days`` days before ``as_of`` (default: today, UTC) feed the daily
     tables. The bound is a literal on the raw timestamp, pushed into the scan.
+    Landed files (JSON, CSV) are loaded as raw tables first (``load_raw``).
     """
+    if raw.weather_format != "parquet" or raw.annual_format != "parquet":
+        raw = load_raw(spark, raw, out_root)
     s = staged_inputs(spark, raw)
     if dev_days is not None:
         anchor = as_of or _dt.datetime.now(_dt.timezone.utc).date()
@@ -103,9 +143,8 @@ def build_models(spark: SparkSession, raw: RawInputs, out_root: str,
         return spark.read.parquet(path)
 
     daily_path = layer_path(out_root, "intermediate", "int_generation_daily")
-    refresh_generation_daily(spark, s["hourly"], daily_path, lookback_days)
     wg_path = layer_path(out_root, "intermediate", "int_weather_generation")
-    refresh_weather_generation(spark, s["hourly"], s["stg_weather_daily"], wg_path, lookback_days)
+    refresh_daily(spark, s["hourly"], s["stg_weather_daily"], daily_path, wg_path, lookback_days)
     paths.update(int_generation_daily=daily_path, int_weather_generation=wg_path)
     daily = spark.read.parquet(daily_path)
     wg = spark.read.parquet(wg_path)
@@ -131,53 +170,49 @@ def run_checks(spark: SparkSession, raw: RawInputs, paths: dict[str, str], as_of
                loaded_at: dict[str, DataFrame] | None = None) -> DataFrame:
     """The data-quality suite: one row per check with failures, severity and status.
 
-    ``loaded_at`` maps a source name (``owid_energy``, ``weather_daily``,
-    ``entsoe_generation``) to a DataFrame with a ``_loaded_at`` column.
+    The column checks of a table are one pass over it. ``loaded_at`` maps a
+    source name (``owid_energy``, ``weather_daily``, ``entsoe_generation``) to a
+    DataFrame with a ``_loaded_at`` column; a raw table that has this column
+    itself need not be given.
     """
     s = staged_inputs(spark, raw)
     t = {name: spark.read.parquet(p) for name, p in paths.items()}
     daily, profile = t["int_generation_daily"], t["int_country_profile"]
-    checks = []
-
-    def nn(table: str, df: DataFrame, cols: list) -> None:
-        for c in cols:
-            checks.append(Q.Check(f"not_null:{table}.{c}", Q.not_null(df, c)))
-
-    def acc(table: str, df: DataFrame, col: str, values: list) -> None:
-        checks.append(Q.Check(f"accepted_values:{table}.{col}", Q.accepted_values(df, col, values)))
-
-    nn("stg_owid_energy", s["stg_owid_energy"], ["country_code_iso3", "year"])
-    acc("stg_owid_energy", s["stg_owid_energy"], "country_code_iso3", COUNTRIES_ISO3)
-    nn("stg_weather_daily", s["stg_weather_daily"],
-       ["country_code", "date", "wind_speed_10m_max_kmh", "sunshine_duration_hrs",
-        "temperature_avg_c", "precipitation_mm", "cloud_cover_pct"])
-    acc("stg_weather_daily", s["stg_weather_daily"], "country_code", COUNTRIES_ISO2)
-    ref = s["stg_country_reference"]
-    nn("stg_country_reference", ref, ["country_code", "is_eu_member"])
-    checks.append(Q.Check("unique:stg_country_reference.country_code", Q.unique(ref, "country_code")))
-    acc("stg_country_reference", ref, "country_code", COUNTRIES_ISO2)
-    nn("int_generation_daily", daily, ["country_code", "date", "energy_category", "season",
-                                       "generation_mwh"])
-    acc("int_generation_daily", daily, "energy_category", CATEGORIES)
-    acc("int_generation_daily", daily, "season", ["winter", "spring", "summer", "autumn"])
-    nn("int_generation_yearly", t["int_generation_yearly"], ["country_code", "year"])
-    nn("int_weather_generation", t["int_weather_generation"], ["country_code", "date"])
-    nn("int_country_profile", profile, ["country_code", "year", "renewable_share_pct"])
-    gm = t["int_country_group_metrics"]
-    nn("int_country_group_metrics", gm, ["country_code", "group_name"])
-    acc("int_country_group_metrics", gm, "group_name", GROUPS)
-    for mart, cols in [("mart_energy_mix", ["country_code", "month", "energy_category"]),
-                       ("mart_weather_correlation", ["country_code", "date"]),
-                       ("mart_country_independence", ["country_code", "year"]),
-                       ("mart_fossil_dependency", ["country_code", "month"]),
-                       ("mart_resilience_score", ["country_code", "year"]),
-                       ("mart_baltic_story", ["country_code", "date", "brell_period"])]:
-        nn(mart, t[mart], cols)
-    acc("mart_baltic_story", t["mart_baltic_story"], "country_code", BALTIC_COUNTRIES)
-    acc("mart_baltic_story", t["mart_baltic_story"], "brell_period", ["pre_brell", "post_brell"])
+
+    # Columns that must be present, and accepted values, of each table.
+    columns = [
+        ("stg_owid_energy", ["country_code_iso3", "year"], {"country_code_iso3": COUNTRIES_ISO3}),
+        ("stg_weather_daily", ["country_code", "date", "wind_speed_10m_max_kmh",
+                               "sunshine_duration_hrs", "temperature_avg_c", "precipitation_mm",
+                               "cloud_cover_pct"], {"country_code": COUNTRIES_ISO2}),
+        ("stg_country_reference", ["country_code", "is_eu_member"], {"country_code": COUNTRIES_ISO2}),
+        ("int_generation_daily", ["country_code", "date", "energy_category", "season",
+                                  "generation_mwh"],
+         {"energy_category": CATEGORIES, "season": list(SEASON_MONTHS)}),
+        ("int_generation_yearly", ["country_code", "year"], {}),
+        ("int_weather_generation", ["country_code", "date"], {}),
+        ("int_country_profile", ["country_code", "year", "renewable_share_pct"], {}),
+        ("int_country_group_metrics", ["country_code", "group_name"], {"group_name": GROUPS}),
+        ("mart_energy_mix", ["country_code", "month", "energy_category"], {}),
+        ("mart_weather_correlation", ["country_code", "date"], {}),
+        ("mart_country_independence", ["country_code", "year"], {}),
+        ("mart_fossil_dependency", ["country_code", "month"], {}),
+        ("mart_resilience_score", ["country_code", "year"], {}),
+        ("mart_baltic_story", ["country_code", "date", "brell_period"],
+         {"country_code": BALTIC_COUNTRIES, "brell_period": list(EVENT_LABELS)}),
+    ]
+    unique_columns = {"stg_country_reference": ["country_code"]}
+    by_column = reduce(DataFrame.unionByName, [
+        Q.column_checks(s[name] if name in s else t[name], name, present, accepted,
+                        unique_columns.get(name, []))
+        for name, present, accepted in columns])
+    column_report = by_column.select(
+        F.concat("check_name", F.lit(":"), "table_name", F.lit("."), "column_name").alias("check_name"),
+        F.lit("error").alias("severity"), "failures",
+        F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("error")).alias("status"))
 
     # Singular tests, with the severities stated in their headers.
-    checks += [
+    checks = [
         Q.Check("assert_date_continuity", Q.date_gaps(daily, ["country_code"], "date"), "warn"),
         Q.Check("assert_generation_non_negative", Q.non_negative(daily, "generation_mwh"), "error"),
         Q.Check("assert_load_gte_generation",
@@ -192,8 +227,19 @@ def run_checks(spark: SparkSession, raw: RawInputs, paths: dict[str, str], as_of
         Q.Check("assert_weather_date_coverage",
                 Q.coverage_gaps(daily, s["stg_weather_daily"], ["country_code", "date"]), "warn"),
     ]
-    report = Q.report(checks)
-    for source, df in (loaded_at or {}).items():
+    annual = scoped_annual(spark, raw)
+    if BAD_VALUES in annual.columns:
+        checks.append(Q.Check("bad_values:owid_energy", annual.filter(F.col(BAD_VALUES) > 0)))
+    report = column_report.unionByName(Q.report(checks))
+
+    tables = {"entsoe_generation": raw.generation}
+    if raw.weather_format == "parquet":
+        tables["weather_daily"] = raw.weather
+    if raw.annual_format == "parquet":
+        tables["owid_energy"] = raw.annual
+    stamped = {name: read_parquet(spark, path) for name, path in tables.items()}
+    sources = {name: df for name, df in stamped.items() if "_loaded_at" in df.columns}
+    for source, df in (sources | (loaded_at or {})).items():
         warn, error = FRESHNESS_DAYS[source]
         fresh = Q.freshness(df, "_loaded_at", as_of, warn, error)
         report = report.unionByName(fresh.select(

@@ -3,10 +3,10 @@ Parquet raw tables and typed seeds; plus early column/row scoping."""
 
 from __future__ import annotations
 
-import datetime as _dt
 import logging
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,15 +51,27 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for c in df.columns])
 
 
-def read_owid(spark: SparkSession, path: str, columns: list | None = None) -> tuple[DataFrame, list]:
+def bad_values(df: DataFrame, schema: T.StructType) -> Column:
+    """Number of a row's fields whose text is no value of the declared type."""
+    types = {f.name: f.dataType for f in schema.fields}
+    bad = [(F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull()).cast("int")
+           for c in df.columns if c in types]
+    return reduce(lambda x, y: x + y, bad, F.lit(0))
+
+
+def read_owid(spark: SparkSession, path: str, columns: list | None = None,
+              bad_col: str | None = None) -> tuple[DataFrame, list]:
     """Wide CSV with header -> the wanted columns that exist, typed; plus missing names.
 
     The file is read as text columns (no inference pass over the data) and only
-    the wanted columns are parsed thanks to CSV column pruning.
+    the wanted columns are parsed thanks to CSV column pruning. ``bad_col`` names
+    a column that counts, for each row, the fields that became NULL for their text.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     df, missing = project_available(raw, columns or OWID_COLUMNS)
-    return _typed(df, schemas.OWID_RAW), missing
+    if bad_col is None:
+        return _typed(df, schemas.OWID_RAW), missing
+    return _typed(df.withColumn(bad_col, bad_values(df, schemas.OWID_RAW)), schemas.OWID_RAW), missing
 
 
 def zip_arrays_to_rows(df: DataFrame, arrays_col: str, fields: list, time_field: str = "time",
@@ -116,7 +128,3 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     """Seed CSV with header and declared column types; empty field -> NULL."""
     return (spark.read.schema(schema).option("header", True)
             .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
-
-
-def loaded_now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

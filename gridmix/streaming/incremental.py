@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridmix.constants import LOOKBACK_DAYS, ROLLING_ROWS
-from gridmix.functions.calendar import utc_day
 from gridmix.plans import intermediate
 from gridmix.session import scratch_dir
 
@@ -137,8 +136,7 @@ def refresh_generation_daily(spark: SparkSession, hourly: DataFrame, path: str,
     cutoff = lookback_cutoff(spark, path, "date", lookback_days)
     rollup = intermediate.generation_rollup(
         since(hourly, "datetime_utc", cutoff, partition_col=raw_partition_col), **rollup_params)
-    upsert(spark, intermediate.int_generation_daily(rollup), path,
-           ["country_code", "date", "energy_category"])
+    _put_generation(spark, rollup, path)
     return cutoff
 
 
@@ -155,25 +153,76 @@ def refresh_weather_generation(spark: SparkSession, hourly: DataFrame, weather:
     cutoff = lookback_cutoff(spark, path, "date", lookback_days)
     rollup = intermediate.generation_rollup(
         since(hourly, "datetime_utc", cutoff, partition_col=raw_partition_col), **rollup_params)
+    _put_weather(spark, rollup, weather, path, cutoff, n)
+    return cutoff
+
+
+def refresh_daily(spark: SparkSession, hourly: DataFrame, weather: DataFrame, generation_path: str,
+                  weather_path: str, lookback_days: int = LOOKBACK_DAYS, n: int = ROLLING_ROWS,
+                  raw_partition_col: str | None = None, **rollup_params) -> _dt.date | None:
+    """Build or refresh both daily tables from one scan of the hourly rows.
+
+    The rollup of the slice is written once to the shared folder and both
+    tables are put from it. The slice starts at the earlier cutoff of the two
+    tables, which is returned; it is everything if one of them doesn't exist yet.
+    """
+    cutoffs = [lookback_cutoff(spark, p, "date", lookback_days)
+               for p in (generation_path, weather_path)]
+    cutoff = None if None in cutoffs else min(cutoffs)
+    rollup = _stage(spark, intermediate.generation_rollup(
+        since(hourly, "datetime_utc", cutoff, partition_col=raw_partition_col), **rollup_params))
+    _put_generation(spark, since(rollup, "date", cutoffs[0], is_timestamp=False), generation_path)
+    _put_weather(spark, since(rollup, "date", cutoffs[1], is_timestamp=False), weather,
+                 weather_path, cutoffs[1], n)
+    return cutoff
+
+
+def _put_generation(spark: SparkSession, rollup: DataFrame, path: str) -> None:
+    upsert(spark, intermediate.int_generation_daily(rollup), path,
+           ["country_code", "date", "energy_category"])
+
+
+def _put_weather(spark: SparkSession, rollup: DataFrame, weather: DataFrame, path: str,
+                 cutoff: _dt.date | None, n: int) -> None:
     fresh = intermediate.weather_daily_generation(rollup)
     wx = weather.select("country_code", "date", *intermediate.WEATHER_COLUMNS)
-    fresh = fresh.join(wx, ["country_code", "date"], "left").withColumn("_ctx", F.lit(False))
+    fresh = fresh.join(wx, ["country_code", "date"], "left")
     if cutoff is not None:
-        stored = spark.read.parquet(path).filter(F.col("date") < F.lit(cutoff))
-        w = Window.partitionBy("country_code").orderBy(F.col("date").desc())
-        # rank-limit filters are planned as a per-group limit before the shuffle.
-        context = (stored.withColumn("_rn", F.row_number().over(w))
-                   .filter(F.col("_rn") <= n - 1).drop("_rn")
-                   .select(*fresh.drop("_ctx").columns).withColumn("_ctx", F.lit(True)))
-        fresh = context.unionByName(fresh)
+        fresh = _stage(spark, fresh)
+        context = rows_before(spark.read.parquet(path), fresh.select("country_code"), cutoff, n - 1)
+        fresh = context.select(*fresh.columns).withColumn("_ctx", F.lit(True)).unionByName(
+            fresh.withColumn("_ctx", F.lit(False)))
+    else:
+        fresh = fresh.withColumn("_ctx", F.lit(False))
     scored = intermediate.add_zscores(fresh, n).filter(~F.col("_ctx")).drop("_ctx")
     out = scored.select(
         "country_code", "date", "season", "renewable_mwh", "wind_generation_mwh",
         "solar_generation_mwh", "total_generation_mwh", *intermediate.WEATHER_COLUMNS,
         "wind_generation_zscore", "solar_generation_zscore", "is_wind_anomaly", "is_solar_anomaly")
     upsert(spark, out, path, ["country_code", "date"])
-    return cutoff
 
 
-def hourly_day(hourly: DataFrame, ts_col: str = "datetime_utc") -> DataFrame:
-    return hourly.withColumn("date", utc_day(ts_col))
+def rows_before(stored: DataFrame, keys: DataFrame, cutoff: _dt.date, rows: int,
+                key: str = "country_code") -> DataFrame:
+    """The last ``rows`` stored rows before ``cutoff`` of each key that ``keys`` holds.
+
+    First only the date partitions of the last ``2 * rows`` days are read. The
+    older history is read for the keys alone that have fewer rows there, and not
+    at all if there is none.
+    """
+    latest = Window.partitionBy(key).orderBy(F.col("date").desc())
+
+    def last(df: DataFrame) -> DataFrame:
+        # Rank-limit filters are planned as a per-group limit before the shuffle.
+        return df.withColumn("_rn", F.row_number().over(latest)).filter(F.col("_rn") <= rows).drop("_rn")
+
+    wanted = keys.distinct()
+    start = cutoff - _dt.timedelta(days=2 * rows)
+    before = stored.filter(F.col("date") < F.lit(cutoff))
+    near = before.filter(F.col("date") >= F.lit(start))
+    held = near.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    short = wanted.join(held, key, "left").filter(F.coalesce("_n", F.lit(0)) < rows).select(key)
+    out = last(near.join(wanted, key, "left_semi"))
+    if short.isEmpty():
+        return out
+    return out.join(short, key, "left_anti").unionByName(last(before.join(short, key, "left_semi")))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from gridmix.plans import intermediate as I
 from gridmix.streaming.incremental import (
-    lookback_cutoff, refresh_generation_daily, refresh_weather_generation, upsert,
+    lookback_cutoff, refresh_daily, refresh_generation_daily, refresh_weather_generation, rows_before,
+    upsert,
 )
 from tests.helpers import d, hourly, rows
 
@@ -94,6 +95,37 @@ def test_weather_generation_incremental_equals_full(spark, tmp_dir):
     assert any(r.is_wind_anomaly for r in inc.collect())
 
 
+def test_both_daily_tables_from_one_rollup(spark, tmp_dir, monkeypatch):
+    days = 150
+    full_hourly, weather = _synthetic_hourly(spark, days), _weather(spark, days)
+    rollups = []
+    plain = I.generation_rollup
+    monkeypatch.setattr(I, "generation_rollup", lambda df, **p: rollups.append(df) or plain(df, **p))
+    daily, wg = os.path.join(tmp_dir, "daily2"), os.path.join(tmp_dir, "wg2")
+    early = full_hourly.filter(F.col("datetime_utc") < F.lit(dt.datetime(2025, 5, 1)))
+    assert refresh_daily(spark, early, weather, daily, wg) is None
+    assert refresh_daily(spark, full_hourly, weather, daily, wg) == d("2025-04-27")
+    assert len(rollups) == 2                                   # one for each run
+    whole = plain(full_hourly)
+    for path, full in ((daily, I.int_generation_daily(whole)), (wg, I.int_weather_generation(whole, weather))):
+        got = spark.read.parquet(path).select(*full.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_rows_before_widens_for_sparse_keys(spark):
+    dense = [("DE", d(_day(i)), i) for i in range(1, 101)]
+    sparse = [("FR", d(_day(i)), i) for i in range(1, 101, 20)]
+    gone = [("EE", d(_day(i)), i) for i in range(1, 4)]
+    stored = spark.createDataFrame(dense + sparse + gone, "country_code string, date date, v int")
+    keys = spark.createDataFrame([("DE",), ("FR",), ("EE",), ("LV",)], "country_code string")
+    got = rows_before(stored, keys, d(_day(100)), 4)
+    assert rows(got, "country_code", "v", order=["country_code", "v"]) == (
+        [("DE", v) for v in (96, 97, 98, 99)] + [("EE", v) for v in (1, 2, 3)]
+        + [("FR", v) for v in (21, 41, 61, 81)])
+    only = rows_before(stored, keys.filter("country_code = 'DE'"), d(_day(100)), 4)
+    assert only.count() == 4
+
+
 def test_dev_sample_keeps_last_days(spark):
     from gridmix.streaming.incremental import since
     h = hourly(spark, [("DE", f"{_day(i)} 12:00", "Solar", 1, 1) for i in range(1, 11)])

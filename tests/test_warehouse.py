@@ -4,11 +4,12 @@ incremental) and run the data-quality suite."""
 import datetime as dt
 import json
 import os
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from gridmix.constants import COUNTRIES_ISO2, COUNTRIES_ISO3, OWID_COLUMNS
-from gridmix.plans.warehouse import RawInputs, build_models, run_checks
+from gridmix.plans.warehouse import RawInputs, build_models, load_raw, run_checks
 from tests.helpers import hourly
 
 TYPES = ["Solar", "Wind Onshore", "Fossil Gas", "Nuclear", "Biomass"]
@@ -41,6 +42,10 @@ def _raw(spark, root, days):
             vals = {"iso_code": iso, "country": iso.title(), "year": str(year),
                     "carbon_intensity_elec": "250"}
             lines.append(",".join(vals.get(c, "10.0") for c in OWID_COLUMNS) + ",x")
+    # Out of scope: years before the first, and a country that no list names.
+    for iso, year in [(COUNTRIES_ISO3[0], 2019), (COUNTRIES_ISO3[1], 1990), ("USA", 2024)]:
+        vals = {"iso_code": iso, "country": iso.title(), "year": str(year)}
+        lines.append(",".join(vals.get(c, "10.0") for c in OWID_COLUMNS) + ",x")
     open(os.path.join(root, "owid.csv"), "w").write("\n".join(lines) + "\n")
     return RawInputs(generation=os.path.join(root, "generation"), weather=wdir,
                      annual=os.path.join(root, "owid.csv"), weather_format="json",
@@ -82,3 +87,33 @@ def test_build_models_and_checks(spark, tmp_dir):
     assert report["freshness:entsoe_generation"].status == "pass"
     # every country-day has all four categories
     assert report["assert_row_volume_entsoe"].failures == 0
+    # Rows out of scope were not loaded, so they are neither wrong values nor gaps.
+    assert report["accepted_values:stg_owid_energy.country_code_iso3"].status == "pass"
+    assert len(report) == 57         # 48 of columns, 7 singular, bad values, freshness
+
+
+def test_load_raw_scopes_stamps_and_counts(spark, tmp_dir):
+    landing = _raw(spark, os.path.join(tmp_dir, "raw"), 3)
+    with open(landing.annual, "a") as f:
+        bad = {"iso_code": COUNTRIES_ISO3[2], "country": "x", "year": "n/a", "solar_share_elec": "?"}
+        f.write(",".join(bad.get(c, "1.0") for c in OWID_COLUMNS) + ",x\n")
+    raw = load_raw(spark, landing, os.path.join(tmp_dir, "wh"))
+    annual = spark.read.parquet(raw.annual)
+    assert annual.filter("year is not null").count() == 2 * len(COUNTRIES_ISO3)
+    assert [r._bad_values for r in annual.filter("year is null").collect()] == [2]
+    assert annual.filter("_loaded_at is null").count() == 0
+    weather = spark.read.parquet(raw.weather)
+    assert weather.count() == 3 * len(COUNTRIES_ISO2)
+    loaded = annual.count()
+    raw = load_raw(spark, landing, os.path.join(tmp_dir, "wh"))
+    assert spark.read.parquet(raw.annual).count() == loaded       # replaced, not added
+
+    paths = build_models(spark, raw, os.path.join(tmp_dir, "wh"))
+    now = dt.datetime.now(dt.timezone.utc)
+    report = {r.check_name: r for r in run_checks(spark, raw, paths, now).collect()}
+    assert report["bad_values:owid_energy"].failures == 1
+    assert report["freshness:owid_energy"].status == report["freshness:weather_daily"].status == "pass"
+    assert report["not_null:stg_owid_energy.year"].failures == 0
+    one = replace(landing, weather_days=("2025-01-21", "2025-01-21"))
+    kept = spark.read.parquet(load_raw(spark, one, os.path.join(tmp_dir, "one")).weather)
+    assert kept.count() == len(COUNTRIES_ISO2)
