@@ -120,8 +120,3 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
     """Sorted distinct values of one or more columns (preview listing)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     return df.select(*cols).distinct().orderBy(*cols)
-
-
-def count_rows(df: DataFrame, keys: list, out: str = "row_count") -> DataFrame:
-    """COUNT(*) per key."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias(out))

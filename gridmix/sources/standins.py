@@ -35,7 +35,6 @@ STANDIN_BASELINE_GROUP = "asia"
 STANDIN_EVENT_DATE = "1999-01-01"
 STANDIN_TARGET_PCT = 42.5
 STANDIN_FRESHNESS_AS_OF = "2024-01-31 00:00:00"
-STANDIN_YEARS = (1995, 2001)
 
 # Dimension tables of the driver (nation, region) have 25 and 5 rows.
 DIM_ROWS = 1_000
@@ -207,11 +206,6 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("n_nationkey").cast("string").alias("country_code_iso3"))
 
 
-def group_members(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
-    """country_code of every member of ``group`` (an IN-list given as a table)."""
-    return group_membership(spark, sf_dir).filter(F.col("group_name") == group).select("country_code")
-
-
 def freshness_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load log stand-in: events per event type with ``ts`` as ``_loaded_at``."""
     return table(spark, sf_dir, "events").select(
