@@ -33,14 +33,24 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
     return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(list(values)))
 
 
-def in_range(df: DataFrame, col: str, lo=None, hi=None, select: list | None = None) -> DataFrame:
-    """Rows with ``col < lo`` or ``col > hi`` (NULL passes)."""
+def outside(col: str, lo=None, hi=None) -> Column:
+    """``col < lo`` or ``col > hi`` (NULL passes)."""
     cond = F.lit(False)
     if lo is not None:
         cond = cond | (F.col(col) < F.lit(lo))
     if hi is not None:
         cond = cond | (F.col(col) > F.lit(hi))
-    out = df.filter(cond)
+    return cond
+
+
+def exceeds(numerator: str, denominator: str, factor: float = 1.5) -> Column:
+    """``numerator > denominator * factor`` where ``denominator > 0``."""
+    return (F.col(numerator) > F.col(denominator) * F.lit(factor)) & (F.col(denominator) > F.lit(0))
+
+
+def in_range(df: DataFrame, col: str, lo=None, hi=None, select: list | None = None) -> DataFrame:
+    """Rows with ``col < lo`` or ``col > hi`` (NULL passes)."""
+    out = df.filter(outside(col, lo, hi))
     return out.select(*select) if select else out
 
 
@@ -52,8 +62,7 @@ def ratio_above(df: DataFrame, numerator: str, denominator: str, factor: float =
                 out: str = "generation_to_load_ratio", select: list | None = None,
                 digits: int = 2) -> DataFrame:
     """Rows where ``numerator > denominator * factor`` and ``denominator > 0``, with the ratio."""
-    flagged = df.filter((F.col(numerator) > F.col(denominator) * F.lit(factor))
-                        & (F.col(denominator) > F.lit(0)))
+    flagged = df.filter(exceeds(numerator, denominator, factor))
     cols = select or df.columns
     return flagged.select(*cols, round_half_up(safe_ratio(numerator, denominator), digits).alias(out))
 
@@ -132,6 +141,17 @@ def report(checks: list) -> DataFrame:
     return out
 
 
+def row_report(df: DataFrame, checks: dict[str, tuple[Column, str]]) -> DataFrame:
+    """``report`` for checks that are conditions on a row, {name: (violation, severity)}: one pass over ``df``."""
+    row = df.agg(*[F.count_if(bad).cast("bigint").alias(f"_{i}") for i, (bad, _) in enumerate(checks.values())])
+    stack = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.lit(severity).alias("severity"),
+                 F.col(f"_{i}").alias("failures"))
+        for i, (name, (_, severity)) in enumerate(checks.items())]))
+    return row.select(stack).withColumn(
+        "status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.col("severity")))
+
+
 def column_checks(df: DataFrame, table: str, not_null_cols: list = (),
                   accepted: dict | None = None, unique_cols: list = ()) -> DataFrame:
     """Many column checks of one table in one scan.
@@ -166,7 +186,7 @@ def column_checks(df: DataFrame, table: str, not_null_cols: list = (),
 
 
 __all__ = [
-    "not_null", "unique", "accepted_values", "in_range", "non_negative", "ratio_above",
-    "min_rows", "date_gaps", "grid_gaps", "coverage_gaps", "freshness", "Check", "report",
-    "column_checks",
+    "not_null", "unique", "accepted_values", "outside", "exceeds", "in_range", "non_negative",
+    "ratio_above", "min_rows", "date_gaps", "grid_gaps", "coverage_gaps", "freshness", "Check",
+    "report", "row_report", "column_checks",
 ]

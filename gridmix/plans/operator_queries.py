@@ -652,16 +652,16 @@ def _report_sql() -> str:
 def _dq_report(m: Models) -> DataFrame:
     """Q4: check report with severities (error / warn) and pass/fail status."""
     d = m.daily
-    return Q.report([
-        Q.Check("assert_generation_non_negative", Q.non_negative(d, "generation_mwh"), "error"),
+    by_row = Q.row_report(d, {
+        "assert_generation_non_negative": (Q.outside("generation_mwh", lo=0), "error"),
+        "assert_load_gte_generation": (Q.exceeds("generation_mwh", "load_mwh", 1.5), "warn")})
+    return by_row.unionByName(Q.report([
         Q.Check("assert_renewable_share_range",
                 Q.in_range(m.profile, "renewable_share_pct", 0, 100), "error"),
-        Q.Check("assert_load_gte_generation", Q.ratio_above(d, "generation_mwh", "load_mwh", 1.5),
-                "warn"),
         Q.Check("assert_row_volume", Q.min_rows(d, ["country_code", "date"], 4), "error"),
         Q.Check("assert_weather_date_coverage",
                 Q.coverage_gaps(d, m.weather, ["country_code", "date"]), "warn"),
-    ])
+    ]))
 
 
 @register("source_freshness", f"""

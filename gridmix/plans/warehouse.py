@@ -214,9 +214,6 @@ def run_checks(spark: SparkSession, raw: RawInputs, paths: dict[str, str], as_of
     # Singular tests, with the severities stated in their headers.
     checks = [
         Q.Check("assert_date_continuity", Q.date_gaps(daily, ["country_code"], "date"), "warn"),
-        Q.Check("assert_generation_non_negative", Q.non_negative(daily, "generation_mwh"), "error"),
-        Q.Check("assert_load_gte_generation",
-                Q.ratio_above(daily, "generation_mwh", "load_mwh", LOAD_RATIO), "warn"),
         Q.Check("assert_owid_country_coverage",
                 Q.grid_gaps(s["stg_owid_energy"], "country_code_iso3", COUNTRIES_ISO3, "year"),
                 "error"),
@@ -230,7 +227,10 @@ def run_checks(spark: SparkSession, raw: RawInputs, paths: dict[str, str], as_of
     annual = scoped_annual(spark, raw)
     if BAD_VALUES in annual.columns:
         checks.append(Q.Check("bad_values:owid_energy", annual.filter(F.col(BAD_VALUES) > 0)))
-    report = column_report.unionByName(Q.report(checks))
+    by_row = Q.row_report(daily, {
+        "assert_generation_non_negative": (Q.outside("generation_mwh", lo=0), "error"),
+        "assert_load_gte_generation": (Q.exceeds("generation_mwh", "load_mwh", LOAD_RATIO), "warn")})
+    report = column_report.unionByName(by_row).unionByName(Q.report(checks))
 
     tables = {"entsoe_generation": raw.generation}
     if raw.weather_format == "parquet":
