@@ -1,8 +1,9 @@
 """Main text by consensus paths of hosts.
 
-Pages of a host share a template. Each page scores its containers by the text
-directly in them, votes for the generalised tag-class path of the best one,
-votes are summed per host in Spark, and each page is extracted again from the
+Pages of a host share a template. Each page votes for the generalised tag-class
+path of the container that holds its text, with all that lies inside: its
+outermost article or main, or the deepest container with nearly all text. Votes
+are summed per host in Spark, and each page is extracted again from the
 containers on its host's winning path.
 """
 
@@ -26,6 +27,9 @@ BLOCKS = frozenset((
     "address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul").split())
 CONTAINERS = frozenset("article body div main section td".split())
+#: Containers of a whole text, and such that are parts of the one around them.
+WHOLE = frozenset(("article", "main"))
+PARTS = frozenset(("section", "td"))
 BOILERPLATE = frozenset("nav header footer aside form menu button select dialog head".split())
 #: Words of a class, id or role that mark what is no article text.
 MARKED = re.compile(
@@ -42,10 +46,18 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?P<close>>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.I)
-VARIABLE = re.compile(r"[0-9]+")
+#: What differs between pages in a class, and what parts containers in a path.
+VARIABLE = re.compile(r"[0-9>]+")
 
 #: Paths of a host that are tried in turn.
 TRIED = 5
+#: Share of a page's text from which a container has nearly all of it.
+NEARLY = 0.9
+
+
+def name_of(path: str) -> str:
+    """Element name of a path's innermost container."""
+    return path.rpartition(">")[2].partition(".")[0]
 
 
 class Element:
@@ -145,24 +157,58 @@ def blocks(page: str) -> list[tuple[str, bool, str, int]]:
     return out
 
 
+def unlinked(text: str, linked: int) -> int:
+    """Characters of a block outside links; none in a block that is mostly links."""
+    return len(text) - linked if len(text) > 2 * linked else 0
+
+
 def best_path(found: list[tuple[str, bool, str, int]]) -> tuple[str, float] | None:
-    """The container path with the highest score, and its share of the page's score.
+    """The container path that holds the page's text, and its share of it.
 
-    A container gets the characters outside links of its own blocks, and half
-    of what its inner containers' blocks have; links count against it.
+    A container has all text outside links that lies in it, at any depth. The
+    outermost article or main is taken if it has most of the page's text and no
+    other one has much. Else the way leads from the page inwards while one
+    container has nearly all text, and ends where text stands beside it.
     """
-    scores: dict[str, float] = {}
+    own: dict[str, int] = {}
     for path, skip, text, linked in found:
-        if not skip and path:
-            worth = max(len(text) - 2 * linked, 0)
-            scores[path] = scores.get(path, 0.0) + worth
-            outer = path.rpartition(">")[0]
-            if outer:
-                scores[outer] = scores.get(outer, 0.0) + worth / 2
-    if not any(scores.values()):
+        if not skip:
+            own[path] = own.get(path, 0) + unlinked(text, linked)
+    total = sum(own.values())
+    if not total:
         return None
-    path = min(scores, key=lambda p: (-scores[p], p))
-    return path, scores[path] / sum(scores.values())
+    held = dict(own)
+    for path in own:
+        while path:
+            path = path.rpartition(">")[0]
+            if path in held:
+                break
+            held[path] = 0
+    inner: dict[str, list[str]] = {}
+    for path in sorted(held, key=len, reverse=True):
+        if path:
+            outer = path.rpartition(">")[0]
+            held[outer] += held[path]
+            inner.setdefault(outer, []).append(path)
+    outermost, level = [], [""]
+    while level:
+        path = level.pop()
+        if name_of(path) in WHOLE:
+            outermost.append(path)
+        else:
+            level += inner.get(path, [])
+    if outermost:
+        best = min(outermost, key=lambda p: (-held[p], p))
+        if held[best] * 2 >= total and held[best] >= NEARLY * sum(held[p] for p in outermost):
+            return best, held[best] / total
+    path = ""
+    while not own.get(path) and name_of(path) not in WHOLE:
+        deeper = [p for p in inner.get(path, ()) if held[p] >= NEARLY * total
+                  and (name_of(p) not in PARTS or name_of(path) in ("", "body") or name_of(path) == name_of(p) == "td")]
+        if not deeper:
+            break
+        path = deeper[0]
+    return (path, held[path] / total) if path else None
 
 
 def extract(found: list[tuple[str, bool, str, int]], paths: list[str]) -> str:

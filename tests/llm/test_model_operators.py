@@ -123,6 +123,30 @@ def test_main_text_by_host_votes(spark):
     assert html_extract.main_text(df.limit(0)).count() == 0
 
 
+def test_main_text_keeps_all_of_nested_containers(spark):
+    part = "word " * 40
+    article = f"<article><h1>Title</h1><p>lead {part}</p><section><p>{part * 5}</p></section></article>"
+    sections = "".join(f"<section class='{c}'><p>{c} {part * n}</p></section>" for c, n in (("a", 6), ("b", 3), ("c", 1)))
+    table = f"<div class='text'><h1>Title</h1><p>lead</p><table><tr><td>{part * 9}</td><td>x</td></tr></table></div>"
+    head, foot = "<html><body><div class='top'><p>Site name</p></div>", "<div class='end'>Imprint</div></body></html>"
+    bodies = {"nested": article, "sections": f"<main><h1>Title</h1>{sections}</main>", "div": f"<div class='text'>{sections}</div>",
+              "table": table, "two": "".join(f"<article class='{c}'><p>{c} {part * n}</p></article>" for c, n in (("a", 6), ("b", 4)))}
+    rows = [(i, f"http://{h}.example/{i}", head + b + foot) for h, b in bodies.items() for i in range(3)]
+    # The other pages of the host have one section only.
+    rows += [(10 + i, f"http://div.example/{i}", f"{head}<div class='text'><section class='a'><p>{part * 6}</p></section></div>{foot}")
+             for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {(r["page_id"], r["url"].split("/")[2][:-8]): r["text"].split() for r in html_extract.main_text(df).collect()}
+    words = ["word"] * 40
+    three = ["a", *words * 6, "b", *words * 3, "c", *words]
+    for i in range(3):
+        assert found[i, "nested"] == ["Title", "lead", *words, *words * 5]
+        assert found[i, "sections"] == ["Title", *three]
+        assert found[i, "div"] == three and found[10 + i, "div"] == words * 6
+        assert found[i, "table"] == ["Title", "lead", *words * 9, "x"]
+        assert " ".join(["a", *words * 6, "b", *words * 4]) in " ".join(found[i, "two"])
+
+
 def test_url_rules_and_link_graph(spark):
     urls = {1: "http://a.net/x", 2: "https://Example.NET/en/1?q", 3: "http://w.example.com/de/", 4: "http://x.org/fr/a#t", 5: None,
             6: "nonsense", 7: "http://b.net", 8: "http://notnet/x", 9: "http://evil.com/", 10: "http://good.com/p", 11: "http://q.org?fr/"}
