@@ -31,11 +31,15 @@ CONTAINERS = frozenset("article body div main section td".split())
 WHOLE = frozenset(("article", "main"))
 PARTS = frozenset(("section", "td"))
 BOILERPLATE = frozenset("nav header footer aside form menu button select dialog head".split())
+#: Of RAW, what ends only at its own end tag, or with the page.
+CODE = frozenset("script style".split())
 #: Words of a class, id or role that mark what is no article text.
 MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|login|masthead|menu|"
+    r"(?<![^\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|login|masthead|menu|"
     r"modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|related|replies|respond|search|share|"
-    r"sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+    r"sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?![^\s_-])", re.I)
+#: Words for texts beside the page's own, which may be longer and be articles themselves.
+BESIDE = frozenset("ad ads comment comments disqus related replies respond".split())
 #: A tag of these ends an open paragraph.
 ENDS_P = BLOCKS - {"br", "body", "head", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"}
 #: An element that a new one of the same kind closes, and where the search for it stops.
@@ -45,6 +49,13 @@ SIBLINGS = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"tabl
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?P<close>>|\Z)", re.S)
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
+RAW_START = {name: re.compile(rf"<{name}(?=[\s/>])", re.I) for name in RAW - CODE}
+#: Comments and code, to be passed over, and the tags of the other RAW elements.
+RAW_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<code>script|style)(?=[\s/>]).*?(?:</(?P=code)(?=[\s/>]|\Z)|\Z)"
+    rf"|<(?P<end>/?)(?P<name>{'|'.join(sorted(RAW - CODE))})(?=[\s/>]|\Z)"
+    r"(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S | re.I)
 ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.I)
 #: What differs between pages in a class, and what parts containers in a path.
 VARIABLE = re.compile(r"[0-9>]+")
@@ -60,11 +71,89 @@ def name_of(path: str) -> str:
     return path.rpartition(">")[2].partition(".")[0]
 
 
+class Mark:
+    """An element whose class, id or role has marked words, and the marked element around it."""
+
+    __slots__ = ("tokens", "outer", "holds", "text", "skip")
+
+    def __init__(self, tokens: dict[str, frozenset[str]], outer: Mark | None):
+        self.tokens, self.outer, self.holds, self.text, self.skip = tokens, outer, False, 0, True
+
+    def words(self) -> set[str]:
+        return set().union(*self.tokens.values())
+
+    def chain(self) -> Iterator[Mark]:
+        mark: Mark | None = self
+        while mark:
+            yield mark
+            mark = mark.outer
+
+
 class Element:
-    __slots__ = ("name", "path", "skip", "link")
+    __slots__ = ("name", "path", "skip", "link", "mark", "whole", "dropped")
 
-    def __init__(self, name: str, path: str, skip: bool, link: bool):
+    def __init__(self, name: str, path: str, skip: bool, link: bool, mark: Mark | None, whole: bool, dropped: bool):
         self.name, self.path, self.skip, self.link = name, path, skip, link
+        self.mark, self.whole, self.dropped = mark, whole, dropped
+
+
+def marked_tokens(found: dict[str, str]) -> dict[str, frozenset[str]]:
+    """The marked words of each name in class, id and role that has any."""
+    tokens = {}
+    for key in ("class", "id", "role"):
+        if MARKED.search(found.get(key, "")):
+            for token in found[key].lower().split():
+                if words := MARKED.findall(token):
+                    tokens[VARIABLE.sub("", token)] = frozenset(words)
+    return tokens
+
+
+def raw_ends(page: str) -> dict[int, int]:
+    """Where a RAW element that has an end tag of its own ends, by the end of its start tag."""
+    ends: dict[int, int] = {}
+    started: dict[str, list[int]] = {}
+    for m in RAW_TAG.finditer(page):
+        name = (m["name"] or "").lower()
+        if name and m["end"]:
+            if started.get(name):
+                ends[started[name].pop()] = m.end()
+        elif name and not m["attributes"].rstrip().endswith("/"):
+            started.setdefault(name, []).append(m.end())
+    return ends
+
+
+def settle(marks: list[Mark], found: list[tuple[str, bool, str, int, Mark | None, bool]]) -> None:
+    """Decide which marked elements are skipped.
+
+    A marked element is kept if it holds an article or main, or if its marked
+    names hold most of the page's text outside links. Where an article or main
+    has a tenth of that text outside, an element named by the mere word keeps
+    its mark in spite of an article in it, and one of BESIDE in any case.
+    """
+    total = outside = 0
+    for _, skip, text, linked, mark, whole in found:
+        if not skip:
+            worth = unlinked(text, linked)
+            total += worth
+            if mark:
+                mark.text += worth
+            if whole and not (mark and any(m.words() & BESIDE or m.words() & m.tokens.keys() for m in mark.chain())):
+                outside += worth
+    for mark in reversed(marks):
+        if mark.outer:
+            mark.outer.text += mark.text
+    named: dict[str, int] = {}
+    for mark in marks:
+        around = set().union(*(m.tokens for m in mark.chain() if m is not mark))
+        for token in mark.tokens.keys() - around:
+            named[token] = named.get(token, 0) + mark.text
+    other = outside and outside * 10 >= total
+    for mark in marks:
+        words = mark.words()
+        beside = other and words & BESIDE
+        usual = set().union(*(w for t, w in mark.tokens.items() if named[t] * 2 > total))
+        kept = not beside and (words <= usual or mark.holds and not (other and words & mark.tokens.keys()))
+        mark.skip = not kept or bool(mark.outer and mark.outer.skip)
 
 
 def blocks(page: str) -> list[tuple[str, bool, str, int]]:
@@ -72,10 +161,14 @@ def blocks(page: str) -> list[tuple[str, bool, str, int]]:
 
     Broken markup is read on: an unknown end tag is passed over, an end tag
     closes what is open inside its element, and the page's end closes all. An
-    unfinished tag at the end is no text.
+    unfinished tag at the end is no text. A RAW element that is closed in its
+    tag is empty; one without an end tag, other than code, ends with its parent
+    or before the next block.
     """
-    out: list[tuple[str, bool, str, int]] = []
-    stack = [Element("", "", False, False)]
+    out: list[tuple[str, bool, str, int, Mark | None, bool]] = []
+    marks: list[Mark] = []
+    ends: dict[int, int] | None = None
+    stack = [Element("", "", False, False, None, False, False)]
     text: list[str] = []
     linked = 0
 
@@ -84,7 +177,7 @@ def blocks(page: str) -> list[tuple[str, bool, str, int]]:
         if text:
             if words := html.unescape("".join(text)).split():
                 own = stack[-1]
-                out.append((own.path, own.skip, " ".join(words), linked))
+                out.append((own.path, own.skip, " ".join(words), linked, own.mark, own.whole))
             text.clear()
         linked = 0
 
@@ -97,7 +190,7 @@ def blocks(page: str) -> list[tuple[str, bool, str, int]]:
     while at < end:
         m = TOKEN.search(page, at)
         piece = page[at:m.start()] if m else page[at:]
-        if piece:
+        if piece and not stack[-1].dropped:
             text.append(piece)
             if stack[-1].link:
                 linked += len(piece.strip())
@@ -119,7 +212,9 @@ def blocks(page: str) -> list[tuple[str, bool, str, int]]:
                 if name not in BLOCKS and stack[depth].name in BLOCKS and stack[depth].name != "p":
                     break  # an inline end tag doesn't close blocks
             continue
-        if name in ENDS_P or name in BLOCKS:
+        if name in BLOCKS:
+            while stack[-1].dropped:
+                stack.pop()
             if name in ENDS_P:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].name == "p":
@@ -137,24 +232,45 @@ def blocks(page: str) -> list[tuple[str, bool, str, int]]:
                     break
         if name in VOID:
             continue
-        if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+        parent = stack[-1]
+        if name in CODE:
+            close = RAW_END[name].search(page, at)
             at = close.end() if close else end
             continue
-        parent = stack[-1]
+        if name in RAW:
+            if m["attributes"].rstrip().endswith("/"):
+                continue
+            if ends is None:
+                close = RAW_END[name].search(page, at)
+                if close and not RAW_START[name].search(page, at, close.start()):
+                    at = close.end()
+                    continue
+                ends = raw_ends(page)
+            if at in ends:
+                at = ends[at]
+            else:
+                stack.append(Element(name, parent.path, parent.skip, parent.link, parent.mark, parent.whole, True))
+            continue
         found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m["attributes"])} if m["attributes"].strip() else {}
         skip = parent.skip or name in BOILERPLATE or "hidden" in found
-        if not skip and found and name not in ("body", "html", "article", "main"):
-            skip = any(MARKED.search(found.get(k, "")) for k in ("class", "id", "role"))
+        mark = parent.mark
+        if not skip and found and name not in ("body", "html", "article", "main") and (tokens := marked_tokens(found)):
+            mark = Mark(tokens, mark)
+            marks.append(mark)
         path = parent.path
         if name in CONTAINERS:
             classes = ".".join(sorted({VARIABLE.sub("", c) for c in found.get("class", "").lower().split()} - {""}))
             path = f"{path}>{name}" + (f".{classes}" if classes else "")
         if m["attributes"].rstrip().endswith("/") and name not in BLOCKS:
             continue
-        stack.append(Element(name, path, skip, parent.link or name == "a"))
+        if name in WHOLE and not skip and mark and not mark.holds:
+            for around in mark.chain():
+                around.holds = True
+        stack.append(Element(name, path, skip, parent.link or name == "a", mark, parent.whole or name in WHOLE, parent.dropped))
     flush()
-    return out
+    if marks:
+        settle(marks, out)
+    return [(path, skip or bool(mark and mark.skip), words, n) for path, skip, words, n, mark, _ in out]
 
 
 def unlinked(text: str, linked: int) -> int:

@@ -147,6 +147,29 @@ def test_main_text_keeps_all_of_nested_containers(spark):
         assert " ".join(["a", *words * 6, "b", *words * 4]) in " ".join(found[i, "two"])
 
 
+LONG = "word " * 60
+
+
+@pytest.mark.parametrize("page", [
+    *[f"<article><p>one {x} two</p><p>{LONG}</p></article>" for x in ("<svg class='icon'/>", "<math/>", "<canvas />", "<SVG/>")],
+    *[f"<article><h2>one<{x}><g></h2><p>two {LONG}</p></article>" for x in ("svg", "canvas", "iframe src=x", "object")],
+    f"<article><h2>one<svg><path d='x'>label</h2><p>two {LONG}</p><svg><svg><g>no</g></svg>no</svg></article>",
+    f"<article><p>one two<svg>no</svg><script>'<svg>'</script> {LONG}</p></article>",
+    f"<head><title>no<meta x=y></head><article><p>one two {LONG}</p></article>",
+    *[f"<body><div {x}><article><p>one two {LONG}</p></article><div class='sidebar'>no</div></div></body>" for x in (
+        "class='has-sidebar'", "class='a content-sidebar-wrap'", "id='social-history'", "class='has-comments'")],
+    f"<body><div id='social-history'><p>one two {LONG}</p></div><div class='social'>no</div></body>",
+    "<body>" + "".join(f"<div class='elementor-widget elementor-widget-{k}'><div class='elementor-widget-container'><p>{t}</p></div></div>"
+                       for k, t in (("heading", "one two"), ("text", "word " * 30), ("text-2", "word " * 30), ("nav-menu", "no"))),
+    f"<body><main><article><p>one two {LONG}</p></article><div class='comments'><article>{'no ' * 200}</article></div>"
+    "<div class='related-posts'><article>no</article></div><div class='sidebar'><article>no</article></div></main></body>",
+])
+def test_blocks_keep_articles(page):
+    found = html_extract.blocks(page)
+    text = html_extract.extract(found, [p[0] for p in [html_extract.best_path(found)] if p])
+    assert text.split() == ["one", "two", *LONG.split()]
+
+
 def test_url_rules_and_link_graph(spark):
     urls = {1: "http://a.net/x", 2: "https://Example.NET/en/1?q", 3: "http://w.example.com/de/", 4: "http://x.org/fr/a#t", 5: None,
             6: "nonsense", 7: "http://b.net", 8: "http://notnet/x", 9: "http://evil.com/", 10: "http://good.com/p", 11: "http://q.org?fr/"}
