@@ -4,11 +4,13 @@ Rules decide where they fit. Elsewhere the host decides: hosts of allowed pages
 spread trust along links, hosts that a host-wide rule blocks spread distrust
 against links (who links to a blocked host is suspect), both by personalised
 PageRank over host edges, and a host whose distrust outweighs its trust and a
-floor is blocked. A host that neither reaches is allowed.
+floor is blocked. A host that neither reaches is allowed. Hosts are those of
+pages and those that pages link to, with or without pages of their own.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 from functools import reduce
@@ -21,9 +23,10 @@ from gridmix.llm.common import pick, stored
 #: (verdict, rule): a host and the path that a url's path has to start with.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING = 0.85
-ROUNDS = 12
 #: Distrust, in shares of an even spread over all hosts, from which a host can be blocked.
 FLOOR = 0.1
+#: Mass that further rounds could still move, in shares of the floor, below which spreading ends.
+REST = 0.01
 
 LINK = r"""<a\s[^>]*?href\s*=\s*["']?([A-Za-z][A-Za-z0-9+.-]*://[^"'\s>]*)"""
 
@@ -60,20 +63,30 @@ def host_edges(pages: DataFrame) -> DataFrame:
         "src", "dst").agg(F.count("*").alias("links"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None,
+           rest: float = 1e-9) -> DataFrame:
     """(host, mass): personalised PageRank along (src, dst, links) from seeds (host, share; shares add up to 1).
 
     Mass of hosts without links is not passed on. Each round is one join and
-    one sum with partial sums, written to the shared folder.
+    one sum with partial sums, written to the shared folder. Without a number
+    of rounds it ends when all that later rounds can move is at most ``rest``:
+    a round moves at most ``damping`` times what the one before it moved.
     """
     out = edges.groupBy("src").agg(F.sum("links").alias("all_links"))
     steps = stored(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("all_links")).alias("part")), "steps")
     now = seeds.select("host", F.col("share").alias("mass"))
-    for _ in range(rounds):
+    later = damping / (1 - damping)
+    most = max(math.ceil(math.log(rest / (2 * later)) / math.log(damping)), 1) if rounds is None else rounds
+    for _ in range(most):
+        none = F.lit(0.0)
         moved = steps.join(now, steps["src"] == now["host"]).select(
-            F.col("dst").alias("host"), (F.col("mass") * F.col("part") * damping).alias("mass"))
-        now = stored(moved.union(seeds.select("host", F.col("share") * (1 - damping))).groupBy("host").agg(
-            F.sum("mass").alias("mass")), "mass")
+            F.col("dst").alias("host"), (F.col("mass") * F.col("part") * damping).alias("mass"), none.alias("was"))
+        given = seeds.select("host", (F.col("share") * (1 - damping)).alias("mass"), none.alias("was"))
+        both = moved.union(given).union(now.select("host", none.alias("mass"), F.col("mass").alias("was")))
+        sums = stored(both.groupBy("host").agg(F.sum("mass").alias("mass"), F.sum("was").alias("was")), "mass")
+        now = sums.select("host", "mass")
+        if rounds is None and (sums.agg(F.sum(F.abs(F.col("mass") - F.col("was")))).first()[0] or 0.0) * later <= rest:
+            break
     return now
 
 
@@ -96,8 +109,9 @@ def verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, floor:
     rule, verdict = judged(rules, F.col("host"), F.col("path"))
     marked = source.withColumns({"rule": rule, "ruled": verdict})
     edges = stored(host_edges(marked), "host-edges")
-    hosts = stored(marked.where("host <> ''").groupBy("host").agg(
-        F.max((F.col("ruled") == "allow") & F.col("rule").isNotNull()).alias("trusted")), "hosts")
+    own = marked.where("host <> ''").select("host", F.coalesce(F.col("ruled") == "allow", F.lit(False)).alias("trusted"))
+    linked = [edges.select(F.col(end).alias("host"), F.lit(False).alias("trusted")) for end in ("src", "dst")]
+    hosts = stored(reduce(DataFrame.union, linked, own).groupBy("host").agg(F.max("trusted").alias("trusted")), "hosts")
     wide = [F.lit(False)] + [fits(r, F.col("host"), F.lit("/")) for v, r in rules if v == "block" and r.endswith("/") and r.count("/") == 1]
     blocked = hosts.where(reduce(lambda x, y: x | y, wide))
     judged_pages = marked.select("page_id", "host", "path", "rule", "ruled")
@@ -105,9 +119,10 @@ def verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, floor:
         return judged_pages.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"),
                                    F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"))
     number = hosts.count()
-    trust = spread(edges, shares(hosts.where("trusted").select("host")))
+    rest = REST * (floor or FLOOR) / max(number, 1)
+    trust = spread(edges, shares(hosts.where("trusted").select("host")), rest=rest)
     against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
-    distrust = spread(against, shares(blocked.select("host")))
+    distrust = spread(against, shares(blocked.select("host")), rest=rest)
     known = hosts.select("host").join(trust.withColumnRenamed("mass", "trust"), "host", "left").join(
         distrust.withColumnRenamed("mass", "distrust"), "host", "left").fillna(0.0)
     bad = (F.col("distrust") * number >= floor) & (F.col("distrust") > F.col("trust"))

@@ -189,6 +189,33 @@ def test_url_rules_and_link_graph(spark):
         "page_id = 9").collect()] == ["allow"]
 
 
+def test_distrust_from_hosts_without_pages_and_over_long_chains(spark):
+    def verdicts(pairs):
+        rows = [(i, f"http://{host}/", f'<a href="{link}">x</a>') for i, (host, link) in enumerate(pairs)]
+        df = spark.createDataFrame(rows, "page_id long, url string, html string")
+        return {r["host"]: r["verdict"] for r in url_filter.verdicts(df).collect()}
+
+    # spam.net is blocked and has no page.
+    assert verdicts([("evil.com", "http://spam.net/"), ("good.com", "http://fine.com/")]) == {"evil.com": "block", "good.com": "allow"}
+    # The last host is 15 links away; many others make an even share small.
+    chain = [("h0.com", "http://spam.net/")] + [(f"h{i}.com", f"http://h{i - 1}.com/") for i in range(1, 15)]
+    far = verdicts(chain + [(f"x{i}.com", f"http://y{i}.com/") for i in range(20)])
+    assert [far[f"h{i}.com"] for i in range(15)] == ["block"] * 15 and far["x0.com"] == "allow"
+
+
+def test_spread_ends_at_the_fixed_point(spark):
+    pairs = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 4), ("d", "c", 1)]
+    got = {r["host"]: r["mass"] for r in url_filter.spread(
+        spark.createDataFrame(pairs, "src string, dst string, links long"),
+        spark.createDataFrame([("a", 0.5), ("d", 0.5)], "host string, share double"), 0.5, rest=1e-4).collect()}
+    names = "abcd"
+    step = np.zeros((4, 4))
+    for s, d, n in pairs:
+        step[names.index(d), names.index(s)] = n / sum(m for x, _, m in pairs if x == s)
+    exact = np.linalg.solve(np.eye(4) - 0.5 * step, 0.5 * np.array([0.5, 0, 0, 0.5]))
+    assert sum(abs(got[h] - x) for h, x in zip(names, exact)) <= 1e-4
+
+
 def test_spread_equals_power_iteration(spark):
     pairs = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 4), ("d", "c", 1)]
     got = {r["host"]: r["mass"] for r in url_filter.spread(
