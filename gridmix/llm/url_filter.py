@@ -28,7 +28,8 @@ FLOOR = 0.1
 #: Mass that further rounds could still move, in shares of the floor, below which spreading ends.
 REST = 0.01
 
-LINK = r"""<a\s[^>]*?href\s*=\s*["']?([A-Za-z][A-Za-z0-9+.-]*://[^"'\s>]*)"""
+#: Target of a link with a host; without a scheme it has the page's own.
+LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
 
 
 def host_of(url: Column) -> Column:
@@ -59,7 +60,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, links) between different hosts; ``pages`` has host and html."""
     links = pages.select(F.col("host").alias("src"), F.explode(
         F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), F.lit(1))).alias("url"))
-    return links.select("src", host_of(F.col("url")).alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy(
+    # Any scheme will do: only the host counts.
+    target = F.when(F.col("url").startswith("//"), F.concat(F.lit("http:"), F.col("url"))).otherwise(F.col("url"))
+    return links.select("src", host_of(target).alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy(
         "src", "dst").agg(F.count("*").alias("links"))
 
 

@@ -203,6 +203,17 @@ def test_distrust_from_hosts_without_pages_and_over_long_chains(spark):
     assert [far[f"h{i}.com"] for i in range(15)] == ["block"] * 15 and far["x0.com"] == "allow"
 
 
+def test_links_of_any_case_and_without_a_scheme(spark):
+    links = ['<A HREF="http://spam.net/">', '<a href="//spam.net/x">', "<a class=x Href=//SPAM.net?u=http://fine.com/>", "<a href=' HTTPS://spam.net'>",
+             '<a href="/spam.net/">', '<a href="x//spam.net/">', '<a href="#//spam.net">', "<a>//spam.net/</a>"]
+    rows = [(i, f"https://h{i}.com/", html) for i, html in enumerate(links)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    edges = url_filter.host_edges(df.withColumn("host", url_filter.host_of(F.col("url"))))
+    assert {tuple(r) for r in edges.collect()} == {(f"h{i}.com", "spam.net", 1) for i in range(4)}
+    verdicts = {r["page_id"]: r["verdict"] for r in url_filter.verdicts(df).collect()}
+    assert verdicts == {i: "block" if i < 4 else "allow" for i in range(8)}
+
+
 def test_spread_ends_at_the_fixed_point(spark):
     pairs = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 4), ("d", "c", 1)]
     got = {r["host"]: r["mass"] for r in url_filter.spread(
