@@ -25,6 +25,8 @@ CANDIDATE_BLOCK = 4096
 TILE = 1024
 #: Block results that one merge takes together.
 FAN_IN = 32
+#: Queries that one merge takes together, as many or about that; a query has up to FAN_IN * k rows.
+MERGED_QUERIES = 256
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -67,10 +69,11 @@ def first_of_equal(ids: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
 
 
 def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[list]:
-    """For each query a heap of (score, -vec_id), its k best in this block."""
+    """For each query a heap of (score, -vec_id), its k best in this block; a vec_id of several vectors has its best one."""
     best: list[list] = [[] for _ in query_ids]
     keep = first_of_equal(ids, rows, k + 1)
-    ids, rows = ids[keep], rows[keep]
+    ids, rows = ids[keep], rows[keep]  # in order of ids
+    repeated = bool((ids[1:] == ids[:-1]).any())
     with np.errstate(all="ignore"):  # products beyond the largest double are infinite, and stay so
         a, b = Quantised(queries), Quantised(rows)
         floor = np.full(len(queries), -np.inf)
@@ -80,15 +83,20 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
             own = query_ids[:, None] == ids[some]
             low[own] = -np.inf
             low, high = np.nan_to_num(low, nan=-np.inf), np.nan_to_num(high, nan=np.inf)
-            if low.shape[1] >= k:
-                floor = np.maximum(floor, np.partition(low, -k, axis=1)[:, -k])
+            each = np.maximum.reduceat(low, np.unique(ids[some], return_index=True)[1], axis=1) if repeated else low
+            if each.shape[1] >= k:
+                floor = np.maximum(floor, np.partition(each, -k, axis=1)[:, -k])
             q, c = np.nonzero((high >= floor[:, None]) & ~own)
             for first in range(0, len(q), 1 << 14):
                 qs, cs = q[first:first + (1 << 14)], c[first:first + (1 << 14)] + at
                 scores = (queries[qs].astype(np.float64) * rows[cs].astype(np.float64)).sum(axis=1)
                 for i, score, vec in zip(qs.tolist(), scores.tolist(), ids[cs].tolist()):
                     heap, entry = best[i], (score, -vec)
-                    if len(heap) < k:
+                    if repeated and (held := [n for n, e in enumerate(heap) if e[1] == -vec]):
+                        if entry > heap[held[0]]:
+                            heap[held[0]] = entry
+                            heapq.heapify(heap)
+                    elif len(heap) < k:
                         heapq.heappush(heap, entry)
                     elif entry > heap[0]:
                         heapq.heapreplace(heap, entry)
@@ -149,17 +157,23 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         return out.append_column("block", pa.array([group.as_py()] * len(out), pa.int32()))
 
     found = cells.groupBy("dim", "query_block", "block").applyInArrow(one, FOUND + ", block int")
-    most = sizes.agg(F.max(F.ceil(F.col("n") / CANDIDATE_BLOCK))).first()[0] or 1
+    most, asked = sizes.agg(F.max(F.ceil(F.col("n") / CANDIDATE_BLOCK)), F.sum("m")).first()
+    most, asked = most or 1, asked or 0
     parts = 1
     while parts < most:
         parts *= FAN_IN
-        found = merged(found, k, parts >= most)
+        found = merged(found, k, merge_parts(asked, parts >= most))
     if most == 1:
-        found = merged(found, k, True)
+        found = merged(found, k, merge_parts(asked, True))
     return found.select("query_id", "rank", "vec_id", "score")
 
 
-def merged(found: DataFrame, k: int, last: bool) -> DataFrame:
+def merge_parts(queries: int, last: bool) -> int:
+    """Groups that a merge deals the queries to: enough that a group's rows fit in memory, and for parallel work."""
+    return max(64 if last else 1024, -(-queries // MERGED_QUERIES))
+
+
+def merged(found: DataFrame, k: int, parts: int) -> DataFrame:
     """The k best of each query among ``FAN_IN`` blocks, by heaps."""
     def merge(table: pa.Table) -> pa.Table:
         heaps: dict[int, dict] = {}
@@ -173,7 +187,7 @@ def merged(found: DataFrame, k: int, last: bool) -> DataFrame:
         return pa.table([*[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.float64()))],
                          pa.array([block] * len(out), pa.int32())], names=["query_id", "rank", "vec_id", "score", "block"])
 
-    some = F.pmod(F.xxhash64("query_id"), F.lit(64)) if last else F.pmod(F.xxhash64("query_id"), F.lit(1024))
+    some = F.pmod(F.xxhash64("query_id"), F.lit(parts))
     up = found.select("query_id", "vec_id", "score", F.floor(F.col("block") / FAN_IN).cast("int").alias("block"))
     return up.withColumn("part", some).groupBy("part", "block").applyInArrow(
         merge, "query_id long, rank int, vec_id long, score double, block int")

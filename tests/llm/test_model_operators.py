@@ -43,6 +43,31 @@ def test_block_search_is_exact(spark, monkeypatch, blocks):
     assert block_search.search(df.limit(0), F.col("vec_id") % 20 == 0, 5).count() == 0
 
 
+def test_search_keeps_one_entry_of_each_id(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    ids, rows = np.arange(60) // 6, rng.normal(size=(60, 4))
+    queries, asked = rng.normal(size=(5, 4)), np.arange(100, 105)
+    rows[:6] = queries[0] * 5 + rng.normal(size=(6, 4)) * 0.01  # all of one id, all near
+    shuffled = rng.permutation(60)
+    for tile in (4, 16, 1024):
+        monkeypatch.setattr(block_search, "TILE", tile)
+        heaps = block_search.search_block(asked, queries, ids[shuffled], rows[shuffled], 5)
+        for q, heap in zip(queries, heaps):
+            best = {int(i): max((q * x).sum() for j, x in zip(ids, rows) if j == i) for i in ids}
+            assert [-v for _, v in sorted(heap, reverse=True)] == sorted(best, key=lambda i: -best[i])[:5]
+    df = spark.createDataFrame([*[(int(i) * 20 + 1, x.tolist()) for i, x in zip(ids, rows)], (0, queries[0].tolist())],
+                               "vec_id long, embedding array<double>")
+    found = block_search.search(df, F.col("vec_id") == 0, 5).collect()
+    assert sorted(r["rank"] for r in found) == [1, 2, 3, 4, 5] and len({r["vec_id"] for r in found}) == 5
+
+
+def test_merges_take_a_bounded_number_of_queries():
+    for last in (False, True):
+        for queries in (0, 1, 10 ** 6, 5 * 10 ** 6):
+            assert queries / block_search.merge_parts(queries, last) <= 256
+    assert block_search.merge_parts(100, True) == 64 and block_search.merge_parts(100, False) == 1024
+
+
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
 
 
