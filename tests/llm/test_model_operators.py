@@ -289,3 +289,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert seen[1] == clean | {1000, 1001, 1002}
     assert seen[2] & {1000, 1001, 1002} == {1000} and clean == seen[2] - {1000}
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == seen[2]
+
+
+def test_near_copies_go_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    def text(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+
+    rows = [(1, text(0)), (1, text(1)), (2, text(1)), (1, text(0)), (3, text(2)), (None, text(2)),  # id 1 has two texts
+            (None, text(3)), (None, text(3)), (None, text(3).replace(" ", "  ", 1)), (None, text(4)), (5, text(0))]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3)
+    out = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    found = sorted(((r["doc_id"] or 0, " ".join(r["text"].split())) for r in out.collect()))
+    assert found == sorted([(1, text(0)), (1, text(1)), (3, text(2)), (0, text(3)), (0, text(4))])
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), str(tmp_path)).count() == 0
