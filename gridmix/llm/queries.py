@@ -12,14 +12,17 @@ from gridmix.llm import (
     byte_bpe,
     hilbert_sharding,
     html_extract,
+    language_id,
     packing,
+    periodic_runs,
     quality_rules,
     simhash_dedup,
     token_counts,
     toxicity,
     url_filter,
+    whitening,
 )
-from gridmix.llm.common import configure, stored, table, vocabulary
+from gridmix.llm.common import configure, pick, stored, table, vocabulary
 from gridmix.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +119,42 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predictions(docs, language_id.fit(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every embedding."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), 16)
+
+
+#: The contract's test pattern: where h % 10 = 0 (h: crc32 of the id), each word i >= a of the n words
+#: becomes word a + (i - a) % p, with g = h div 10, a = g % n and p = 1 + (n - a) div (3 + g % 8).
+PLANTED = r"""
+CASE WHEN h % 10 = 0 THEN
+  transform(array(filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w != '')), own ->
+    CASE WHEN size(own) = 0 THEN '' ELSE
+      transform(array(struct((h div 10) % size(own) AS a, 1 + (size(own) - (h div 10) % size(own)) div (3 + (h div 10) % 8) AS p)), at ->
+        array_join(transform(own, (w, i) -> own[CASE WHEN i >= at.a THEN at.a + (i - at.a) % at.p ELSE i END]), ' '))[0]
+    END)[0]
+ELSE text END
+"""
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, and the text without their repeats."""
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
+    hashed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    planted = hashed.select("doc_id", F.expr(PLANTED).alias("text"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(planted))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
