@@ -39,13 +39,38 @@ def daily_rollup(
     only, so it is derived once per group after the aggregate instead of once
     per hourly row.
     """
+    partials = daily_partials(hourly, country, ts, production_type, generation, load,
+                              category_map, wind_types, solar_types)
+    return rollup_of(partials, seasons)
+
+
+#: One row of daily partial sums; the measures are whole millionths.
+DAY_KEYS = ["country_code", "date", "energy_category"]
+PARTIAL_SUMS = ["generation_sum", "load_sum", "load_rows", "wind_sum", "solar_sum"]
+
+
+def daily_partials(
+    hourly: DataFrame,
+    country: str = "country_code",
+    ts: str = "datetime_utc",
+    production_type: str = "production_type",
+    generation: str = "generation_mwh",
+    load: str = "load_mwh",
+    category_map: dict | None = None,
+    wind_types: list | None = None,
+    solar_types: list | None = None,
+) -> DataFrame:
+    """Hourly rows -> exact sums per (country_code, date, energy_category).
+
+    Partials of disjoint sets of rows add up (``add_partials``) to those of all
+    rows, to the last digit and in any order.
+    """
     category_map = category_map if category_map is not None else CATEGORY_MAP
     wind_types = WIND_TYPES if wind_types is None else wind_types
     solar_types = SOLAR_TYPES if solar_types is None else solar_types
-    day = utc_day(ts)
     classified = hourly.select(
         F.col(country).alias("country_code"),
-        day.alias("date"),
+        utc_day(ts).alias("date"),
         classify(production_type, category_map, OTHER_CATEGORY).alias("energy_category"),
         F.col(production_type).isin(list(wind_types)).alias("_is_wind"),
         F.col(production_type).isin(list(solar_types)).alias("_is_solar"),
@@ -53,17 +78,29 @@ def daily_rollup(
         exact(load).alias("_load"),
     )
     zero = F.lit(0).cast("bigint")
-    agg = classified.groupBy("country_code", "date", "energy_category").agg(
-        from_exact(F.sum("_gen")).alias("generation_mwh"),
-        safe_ratio(from_exact(F.sum("_load")), F.count("_load")).alias("load_mwh"),
-        from_exact(F.sum(F.when(F.col("_is_wind"), F.col("_gen")).otherwise(zero)))
-        .alias("wind_generation_mwh"),
-        from_exact(F.sum(F.when(F.col("_is_solar"), F.col("_gen")).otherwise(zero)))
-        .alias("solar_generation_mwh"),
+    return classified.groupBy(*DAY_KEYS).agg(
+        F.sum("_gen").alias("generation_sum"),
+        F.sum("_load").alias("load_sum"),
+        F.count("_load").alias("load_rows"),
+        F.sum(F.when(F.col("_is_wind"), F.col("_gen")).otherwise(zero)).alias("wind_sum"),
+        F.sum(F.when(F.col("_is_solar"), F.col("_gen")).otherwise(zero)).alias("solar_sum"),
     )
-    return agg.select("country_code", "date", "energy_category",
-                      season_of("date", seasons or SEASON_MONTHS).alias("season"),
-                      "generation_mwh", "load_mwh", "wind_generation_mwh", "solar_generation_mwh")
+
+
+def add_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several sets of rows added up: one row per key."""
+    return partials.groupBy(*DAY_KEYS).agg(*[F.sum(c).alias(c) for c in PARTIAL_SUMS])
+
+
+def rollup_of(partials: DataFrame, seasons: dict | None = None) -> DataFrame:
+    """Daily rollup (see ``daily_rollup``) of partials with one row per key."""
+    return partials.select(
+        "country_code", "date", "energy_category",
+        season_of("date", seasons or SEASON_MONTHS).alias("season"),
+        from_exact("generation_sum").alias("generation_mwh"),
+        safe_ratio(from_exact("load_sum"), F.col("load_rows")).alias("load_mwh"),
+        from_exact("wind_sum").alias("wind_generation_mwh"),
+        from_exact("solar_sum").alias("solar_generation_mwh"))
 
 
 def conditional_sums(df: DataFrame, keys: list, value: str, conditions: dict) -> DataFrame:

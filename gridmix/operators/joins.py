@@ -8,6 +8,8 @@ a normal shuffle join (and AQE's runtime conversion) when it does not hold.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +65,11 @@ def semi_filter(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Keep rows whose key appears in ``keys`` (IN-list given as a table)."""
     return df.join(bounded_broadcast(keys.select(on).distinct() if isinstance(on, str)
                                      else keys.select(*on).distinct()), on=on, how="left_semi")
+
+
+def matching(df: DataFrame, keys: DataFrame, on: list, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose key is (``left_semi``) or isn't (``left_anti``) in ``keys``; NULL is
+    a key like any other, as it is for a grouping."""
+    other = keys.select(*[F.col(k).alias(f"_key_{k}") for k in on])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in on])
+    return df.join(other, same, how)

@@ -10,11 +10,11 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix.functions.numeric import round_half_up, safe_ratio
-from gridmix.operators.sets import date_spine, grid, missing_keys
+from gridmix.operators.sets import gap_runs, grid, missing_keys
 
 
 def not_null(df: DataFrame, col: str) -> DataFrame:
@@ -75,10 +75,12 @@ def min_rows(df: DataFrame, keys: list, minimum: int = 4, out: str = "row_count"
 
 def date_gaps(df: DataFrame, keys: list, date_col: str = "date",
               out: str = "missing_date") -> DataFrame:
-    """Days missing between the first and last date of each key (inner gaps only)."""
-    spine = date_spine(df, keys, date_col, out)
-    actual = df.select(*keys, F.col(date_col).alias(out)).distinct()
-    return missing_keys(spine, actual, keys + [out])
+    """Days missing between the first and last date of each key (inner gaps only).
+
+    Only the gaps are expanded to days (``sets.gap_runs``), not the calendar.
+    """
+    days = F.explode(F.sequence("gap_start", "gap_end"))
+    return gap_runs(df, keys, date_col).select(*keys, days.alias(out))
 
 
 def grid_gaps(df: DataFrame, key_col: str, required: list, other_col: str) -> DataFrame:
@@ -152,6 +154,26 @@ def row_report(df: DataFrame, checks: dict[str, tuple[Column, str]]) -> DataFram
         "status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.col("severity")))
 
 
+def _column_counts(not_null_cols: list = (), accepted: dict | None = None) -> list[tuple[str, str, Column]]:
+    """(check, column, number of failing rows) of the checks that one aggregate can count."""
+    exprs = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null_cols]
+    for c, values in (accepted or {}).items():
+        exprs.append(("accepted_values", c,
+                      F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(values)))))
+    return exprs
+
+
+def _counted(row: DataFrame, table: str, exprs: list[tuple[str, str, Column]]) -> DataFrame:
+    """(table_name, check_name, column_name, failures) from one row of counts ``_0``, ``_1``, ..."""
+    stack = F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("check_name"), F.lit(c).alias("column_name"),
+                 F.col(f"_{i}").alias("failures"))
+        for i, (kind, c, _) in enumerate(exprs)
+    ]))
+    return row.select(stack).select(F.lit(table).alias("table_name"), "check_name",
+                                    "column_name", "failures")
+
+
 def column_checks(df: DataFrame, table: str, not_null_cols: list = (),
                   accepted: dict | None = None, unique_cols: list = ()) -> DataFrame:
     """Many column checks of one table in one scan.
@@ -160,23 +182,11 @@ def column_checks(df: DataFrame, table: str, not_null_cols: list = (),
     ``count_if`` expressions; each ``unique`` check needs its own grouping.
     Returns rows (table_name, check_name, column_name, failures).
     """
-    accepted = accepted or {}
-    exprs: list[tuple[str, str, Column]] = []
-    for c in not_null_cols:
-        exprs.append(("not_null", c, F.count_if(F.col(c).isNull())))
-    for c, values in accepted.items():
-        exprs.append(("accepted_values", c,
-                      F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(values)))))
+    exprs = _column_counts(not_null_cols, accepted)
     out = None
     if exprs:
         row = df.agg(*[e.cast("bigint").alias(f"_{i}") for i, (_, _, e) in enumerate(exprs)])
-        stack = F.inline(F.array(*[
-            F.struct(F.lit(kind).alias("check_name"), F.lit(c).alias("column_name"),
-                     F.col(f"_{i}").alias("failures"))
-            for i, (kind, c, _) in enumerate(exprs)
-        ]))
-        out = row.select(stack).select(F.lit(table).alias("table_name"), "check_name",
-                                       "column_name", "failures")
+        out = _counted(row, table, exprs)
     for c in unique_cols:
         dup = unique(df, c).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
         part = dup.select(F.lit(table).alias("table_name"), F.lit("unique").alias("check_name"),
@@ -185,8 +195,45 @@ def column_checks(df: DataFrame, table: str, not_null_cols: list = (),
     return out
 
 
+class ObservedChecks:
+    """Column checks of a table that the job writing it counts (``DataFrame.observe``).
+
+    The counts are made in the writing tasks themselves, after the last shuffle,
+    so that a map task that runs again after a lost executor isn't counted twice.
+    """
+
+    def __init__(self, table: str, not_null_cols: list = (), accepted: dict | None = None) -> None:
+        self.table = table
+        self.exprs = _column_counts(not_null_cols, accepted)
+        self._observation: Observation | None = None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """``df``, counted while it is written. Give this frame to the writer as it is."""
+        self._observation = Observation()
+        return df.observe(self._observation, F.count(F.lit(1)).alias("rows"), *[
+            e.cast("bigint").alias(f"_{i}") for i, (_, _, e) in enumerate(self.exprs)])
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """(table_name, check_name, column_name, failures), as ``column_checks`` gives them; after the write."""
+        found = self._observation.get
+        rows = [(self.table, kind, c, int(found[f"_{i}"])) for i, (kind, c, _) in enumerate(self.exprs)]
+        return spark.createDataFrame(rows, CHECK_COUNTS)
+
+    def by_day(self, df: DataFrame, day: str) -> DataFrame:
+        """The counts of each day's rows: (day, table_name, check_name, column_name, failures)."""
+        row = df.groupBy(day).agg(*[e.cast("bigint").alias(f"_{i}") for i, (_, _, e) in enumerate(self.exprs)])
+        stack = F.inline(F.array(*[
+            F.struct(F.lit(self.table).alias("table_name"), F.lit(kind).alias("check_name"),
+                     F.lit(c).alias("column_name"), F.col(f"_{i}").alias("failures"))
+            for i, (kind, c, _) in enumerate(self.exprs)]))
+        return row.select(day, stack)
+
+
+CHECK_COUNTS = "table_name string, check_name string, column_name string, failures bigint"
+
+
 __all__ = [
     "not_null", "unique", "accepted_values", "outside", "exceeds", "in_range", "non_negative",
     "ratio_above", "min_rows", "date_gaps", "grid_gaps", "coverage_gaps", "freshness", "Check",
-    "report", "row_report", "column_checks",
+    "report", "row_report", "column_checks", "ObservedChecks",
 ]

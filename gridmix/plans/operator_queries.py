@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from gridmix.operators import aggregates as A
 from gridmix.operators import quality as Q
 from gridmix.operators import sets as S
 from gridmix.operators import windows as W
+from gridmix.operators.day_bitmaps import count_days, qualifying_blocks
 from gridmix.operators.joins import (
     fan_out, join_detail_to_aggregate, semi_filter,
 )
@@ -25,8 +27,17 @@ from gridmix.plans.catalog import Models
 from gridmix.plans.oracle_sql import ES, MONTH, R, YEAR, with_ctes
 from gridmix.plans.registry import register
 from gridmix.sources import standins
-from gridmix.sources.readers import project_available, recent_days, scope_filter, zip_arrays_to_rows
-from gridmix.streaming.incremental import max_date, merge_on_keys, since
+from gridmix.session import ensure_checkpoint_dir
+from gridmix.sources.readers import (
+    project_available, read_owid, read_weather_json, recent_days, scope_filter, zip_arrays_to_rows,
+)
+from gridmix.sources.sinks import Staging, write_csv, write_table
+from gridmix.streaming.correlations import refresh_blocks, seasonal_correlation as merged_correlation
+from gridmix.streaming.incremental import (
+    WEATHER_TABLE, lookback_cutoff, max_date, merge_on_keys, newest_load, put_changed, refresh_changed, since,
+    touched_days, upsert,
+)
+from gridmix.streaming.stream import refresh_stream
 
 # FIXED VALUES of the stand-in scope: the countries and years kept by the scope
 # filter (nation keys 0-10 stand for the 11 countries, 1995-2000 for the 6 years),
@@ -138,6 +149,115 @@ def _incremental_upsert(m: Models) -> DataFrame:
 
 # ------------------------------------------------- projections / filters ----
 
+STANDIN_ROLLUP = {"category_map": standins.STANDIN_CATEGORY_MAP, "wind_types": standins.STANDIN_WIND_TYPES,
+                  "solar_types": standins.STANDIN_SOLAR_TYPES}
+
+
+def _scratch(m: Models, name: str) -> str:
+    """A new folder of the shared checkpoint folder for the tables of one query."""
+    return f"{ensure_checkpoint_dir(m.spark).rstrip('/')}/gridmix-{name}-{uuid.uuid4().hex}"
+
+
+@register("upsert_on_disk", O.model("daily"))
+def _upsert_on_disk(m: Models) -> DataFrame:
+    """A stored date-partitioned table (months here) that lacks the last 45 days and has wrong
+    figures in its own last days is refreshed from the lookback slice of the current data."""
+    path, keys = _scratch(m, "upsert"), ["country_code", "date", "energy_category"]
+    cut = _newest_day(m.hourly) - _dt.timedelta(days=45)
+    daily = I.int_generation_daily(I.generation_rollup(m.hourly, **STANDIN_ROLLUP))
+    daily = daily.withColumn("month", F.trunc("date", "MM"))
+    wrong = F.when(F.col("date") >= F.lit(cut - _dt.timedelta(days=LOOKBACK)), -1.0).otherwise(F.col("generation_mwh"))
+    upsert(m.spark, daily.filter(F.col("date") < F.lit(cut)).withColumn("generation_mwh", wrong), path, keys, "month")
+    cutoff = lookback_cutoff(m.spark, path, days=LOOKBACK)
+    upsert(m.spark, _incremental_slice(m, cutoff).withColumn("month", F.trunc("date", "MM")), path, keys, "month")
+    return m.spark.read.parquet(path).select(*I.DAILY_COLUMNS)
+
+
+@register("full_replace_partitioned", with_ctes(
+    "SELECT * FROM daily WHERE date >= (SELECT max(date) FROM daily) - INTERVAL 400 DAY", "daily"))
+def _full_replace(m: Models) -> DataFrame:
+    """A partitioned table of all months is replaced by one of the last 400 days; the other
+    months' partitions are gone, whatever the session's overwrite mode."""
+    path = _scratch(m, "replace")
+    dated = m.daily.withColumn("month", F.trunc("date", "MM"))
+    write_table(dated, path, partition_by="month")
+    newest = max_date(m.spark.read.parquet(path))
+    write_table(dated.filter(F.col("date") >= F.lit(newest - _dt.timedelta(days=400))), path, partition_by="month")
+    return m.spark.read.parquet(path).select(*I.DAILY_COLUMNS)
+
+
+@register("csv_by_header", with_ctes("SELECT * FROM annual_raw", "annual_raw"))
+def _csv_by_header(m: Models) -> DataFrame:
+    """Yearly statistics written as CSV, the odd years with their columns in reverse order,
+    and read back by name."""
+    path = _scratch(m, "csv")
+    odd = F.col("year") % 2 == 1
+    write_csv(m.annual_raw.filter(~odd), f"{path}/even")
+    write_csv(m.annual_raw.filter(odd).select(*reversed(m.annual_raw.columns)), f"{path}/odd")
+    return read_owid(m.spark, [f"{path}/even", f"{path}/odd"])[0]
+
+
+@register("json_documents", with_ctes("SELECT * FROM weather_raw", "weather_raw"))
+def _json_documents(m: Models) -> DataFrame:
+    """One JSON document of parallel daily arrays per country and year, written and read back."""
+    path = _scratch(m, "json")
+    ordered = F.array_sort(F.collect_list(F.struct("date", *WEATHER_FIELDS)))
+    # A document holds the days of a calendar year at most.
+    docs = m.weather_raw.groupBy("country_code", F.year("date").alias("year")).agg(ordered.alias("r"))
+    daily = F.struct(F.transform("r", lambda d: d["date"].cast("string")).alias("time"),
+                     *[F.col(f"r.{c}").alias(c) for c in WEATHER_FIELDS])
+    docs.select(daily.alias("daily"), F.concat_ws("-", "country_code", "year").alias("doc")).write.partitionBy("doc").json(path)
+    back = read_weather_json(m.spark, path, country_pattern=r"doc=(.*)-\d+/[^/]*$", of_path=True)
+    return back.withColumn("date", F.col("date").cast("date"))
+
+
+@register("stream_generation_daily", O.model("daily"))
+def _stream_daily(m: Models) -> DataFrame:
+    """The hourly rows landed as files and read as a stream, a few files a batch; every batch
+    adds to the ledger and rewrites the months it touches."""
+    return m.spark.read.parquet(_streamed(m)[0]).select(*I.DAILY_COLUMNS)
+
+
+@register("stream_weather_generation", O.model("weather_generation"))
+def _stream_weather(m: Models) -> DataFrame:
+    """The weather table after the same stream: z-scores are scored again where a batch reaches them."""
+    return m.spark.read.parquet(_streamed(m)[1]).select(*WEATHER_TABLE)
+
+
+def _streamed(m: Models) -> tuple[str, str]:
+    """Paths of both daily tables after a stream over the landed hourly rows in three batches."""
+    root = _scratch(m, "stream")
+    rows = m.hourly.withColumn("_loaded_at", F.col("datetime_utc").cast("timestamp"))
+    # Rows go to files by hash, so each batch holds days of all years: most are late.
+    rows = rows.withColumn("datetime_utc", F.col("datetime_utc").cast("timestamp"))
+    rows.repartition(6, F.xxhash64(*rows.columns)).write.parquet(f"{root}/landing")
+    # Weather is a table of its own here; written once, it isn't derived again in each batch.
+    m.weather.write.parquet(f"{root}/weather")
+    refresh_stream(m.spark, f"{root}/landing", m.spark.read.parquet(f"{root}/weather"), f"{root}/daily", f"{root}/wg",
+                   f"{root}/ledger", f"{root}/checkpoint", files_per_batch=2, partition_col="month",
+                   compact_every=2, **STANDIN_ROLLUP)
+    return f"{root}/daily", f"{root}/wg"
+
+
+@register("late_rows_change_set", O.model("weather_generation"))
+def _late_rows(m: Models) -> DataFrame:
+    """Tables built without a tenth of the hourly rows, which then come in late, with days
+    of all ages; only what they touch is computed again. The result is that of all rows."""
+    root, spark = _scratch(m, "late"), m.spark
+    late = F.pmod(F.xxhash64(*m.hourly.columns), F.lit(10)) == 0
+    loaded = F.timestamp_seconds(F.when(late, F.lit(2_000_000_000)).otherwise(F.lit(1_000_000_000)))
+    m.hourly.withColumn("_loaded_at", loaded).write.parquet(f"{root}/hourly")
+    m.weather.write.parquet(f"{root}/weather")
+    hourly, weather = spark.read.parquet(f"{root}/hourly"), spark.read.parquet(f"{root}/weather")
+    early = hourly.filter(F.col("_loaded_at") < F.timestamp_seconds(F.lit(1_500_000_000)))
+    with Staging(spark) as staging:
+        first = staging.put(I.generation_rollup(early, **STANDIN_ROLLUP))
+        put_changed(spark, staging, first, weather, f"{root}/daily", f"{root}/wg", partition_col="month")
+    refresh_changed(spark, hourly, weather, f"{root}/daily", f"{root}/wg", newest_load(early),
+                    partition_col="month", **STANDIN_ROLLUP)
+    return spark.read.parquet(f"{root}/wg").select(*WEATHER_TABLE)
+
+
 @register("stage_rename_cast", O.model("annual"))
 def _stage_rename_cast(m: Models) -> DataFrame:
     """Rename + cast to the declared schema."""
@@ -332,6 +452,29 @@ def _correlation(m: Models) -> DataFrame:
     return M.seasonal_correlation(m.weather_generation)
 
 
+@register("correlation_from_comoments", with_ctes("SELECT * FROM correlations", "correlations"))
+def _correlation_blocks(m: Models) -> DataFrame:
+    """Correlations merged from stored monthly co-moments. The blocks are built from the days
+    up to a year before the end and then refreshed with the months of the days since."""
+    root, spark = _scratch(m, "comoments"), m.spark
+    m.weather_generation.write.parquet(f"{root}/wg")
+    wg = spark.read.parquet(f"{root}/wg")
+    cut = max_date(wg) - _dt.timedelta(days=365)
+    refresh_blocks(spark, wg.filter(F.col("date") < F.lit(cut)), f"{root}/blocks")
+    since_cut = touched_days(wg.filter(F.col("date") >= F.lit(cut)))
+    refresh_blocks(spark, wg, f"{root}/blocks", since_cut)
+    return merged_correlation(spark.read.parquet(f"{root}/blocks"))
+
+
+@register("qualifying_days_bitmap", with_ctes("SELECT * FROM ind_days", "ind_days"))
+def _qualifying_bitmap(m: Models) -> DataFrame:
+    """Qualifying days counted from monthly bitmaps, some months loaded twice."""
+    renewable = F.col("energy_category") == "renewable"
+    blocks = qualifying_blocks(m.daily, ["country_code"], "date", "generation_mwh", renewable, 80)
+    again = blocks.filter(F.month("month") % 3 == 0)
+    return count_days(blocks.unionByName(again), ["country_code"])
+
+
 @register("distinct_keys", with_ctes(
     "SELECT DISTINCT country_code, energy_category FROM daily", "daily"))
 def _distinct(m: Models) -> DataFrame:
@@ -498,6 +641,26 @@ def _gaps(m: Models) -> DataFrame:
     return Q.date_gaps(m.daily, ["country_code"], "date")
 
 
+@register("date_gap_runs", with_ctes(
+    "SELECT country_code, CAST(date + 1 AS DATE) AS gap_start, CAST(nxt - 1 AS DATE) AS gap_end, "
+    "CAST(nxt - date - 1 AS BIGINT) AS days FROM (SELECT country_code, date, "
+    "lead(date) OVER (PARTITION BY country_code ORDER BY date) AS nxt "
+    "FROM (SELECT DISTINCT country_code, date FROM daily) u) s WHERE nxt - date > 1", "daily"))
+def _gap_runs(m: Models) -> DataFrame:
+    """Runs of missing days with their first and last day and length."""
+    return S.gap_runs(m.daily, ["country_code"], "date")
+
+
+@register("date_island_runs", with_ctes(
+    "SELECT country_code, min(date) AS island_start, max(date) AS island_end, CAST(count(*) AS BIGINT) AS days "
+    "FROM (SELECT country_code, date, date_diff('day', DATE '1970-01-01', date) - "
+    "row_number() OVER (PARTITION BY country_code ORDER BY date) AS run "
+    "FROM (SELECT DISTINCT country_code, date FROM daily) u) s GROUP BY country_code, run", "daily"))
+def _island_runs(m: Models) -> DataFrame:
+    """Q9: runs of consecutive present days."""
+    return S.island_runs(m.daily, ["country_code"], "date")
+
+
 # ----------------------------------------------------------- scalars (F*) ----
 
 @register("round_half_up", with_ctes(

@@ -34,7 +34,9 @@ from gridmix.sources.readers import (
     read_generation, read_owid, read_parquet, read_weather_json, scope_filter,
 )
 from gridmix.sources.sinks import layer_path, write_table
-from gridmix.streaming.incremental import refresh_daily, since
+from gridmix.streaming.incremental import (
+    checks_path, keep_counts, refresh_daily, since, table_exists,
+)
 
 
 @dataclass
@@ -137,14 +139,17 @@ def build_models(spark: SparkSession, raw: RawInputs, out_root: str,
     paths: dict[str, str] = {}
 
     def put(name: str, layer: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        path = layer_path(out_root, layer, name)
-        write_table(df, path, partition_by=partition_by)
+        path, checks = layer_path(out_root, layer, name), observed(name)
+        write_table(df, path, partition_by=partition_by, checks=checks)
+        keep_counts(spark, checks.counts(spark), path)
         paths[name] = path
         return spark.read.parquet(path)
 
     daily_path = layer_path(out_root, "intermediate", "int_generation_daily")
     wg_path = layer_path(out_root, "intermediate", "int_weather_generation")
-    refresh_daily(spark, s["hourly"], s["stg_weather_daily"], daily_path, wg_path, lookback_days)
+    refresh_daily(spark, s["hourly"], s["stg_weather_daily"], daily_path, wg_path, lookback_days,
+                  checks={"generation": observed("int_generation_daily"),
+                          "weather": observed("int_weather_generation")})
     paths.update(int_generation_daily=daily_path, int_weather_generation=wg_path)
     daily = spark.read.parquet(daily_path)
     wg = spark.read.parquet(wg_path)
@@ -166,11 +171,50 @@ def build_models(spark: SparkSession, raw: RawInputs, out_root: str,
     return paths
 
 
+#: Columns that must be present, and accepted values, of each table.
+COLUMN_CHECKS = [
+    ("stg_owid_energy", ["country_code_iso3", "year"], {"country_code_iso3": COUNTRIES_ISO3}),
+    ("stg_weather_daily", ["country_code", "date", "wind_speed_10m_max_kmh",
+                           "sunshine_duration_hrs", "temperature_avg_c", "precipitation_mm",
+                           "cloud_cover_pct"], {"country_code": COUNTRIES_ISO2}),
+    ("stg_country_reference", ["country_code", "is_eu_member"], {"country_code": COUNTRIES_ISO2}),
+    ("int_generation_daily", ["country_code", "date", "energy_category", "season",
+                              "generation_mwh"],
+     {"energy_category": CATEGORIES, "season": list(SEASON_MONTHS)}),
+    ("int_generation_yearly", ["country_code", "year"], {}),
+    ("int_weather_generation", ["country_code", "date"], {}),
+    ("int_country_profile", ["country_code", "year", "renewable_share_pct"], {}),
+    ("int_country_group_metrics", ["country_code", "group_name"], {"group_name": GROUPS}),
+    ("mart_energy_mix", ["country_code", "month", "energy_category"], {}),
+    ("mart_weather_correlation", ["country_code", "date"], {}),
+    ("mart_country_independence", ["country_code", "year"], {}),
+    ("mart_fossil_dependency", ["country_code", "month"], {}),
+    ("mart_resilience_score", ["country_code", "year"], {}),
+    ("mart_baltic_story", ["country_code", "date", "brell_period"],
+     {"country_code": BALTIC_COUNTRIES, "brell_period": list(EVENT_LABELS)}),
+]
+
+
+def observed(name: str) -> Q.ObservedChecks:
+    """The column checks of a model, to be counted by the job that writes it."""
+    return next(Q.ObservedChecks(name, present, accepted) for n, present, accepted in COLUMN_CHECKS if n == name)
+
+
+def model_checks(spark: SparkSession, df: DataFrame, name: str, present: list, accepted: dict,
+                 path: str | None, unique_columns: list) -> DataFrame:
+    """Failures of a model's column checks: the counts its writing job kept, or else one pass over it."""
+    if path is None or unique_columns or not table_exists(spark, checks_path(path)):
+        return Q.column_checks(df, name, present, accepted, unique_columns)
+    kept = spark.read.parquet(checks_path(path))
+    return kept.groupBy("table_name", "check_name", "column_name").agg(F.sum("failures").alias("failures"))
+
+
 def run_checks(spark: SparkSession, raw: RawInputs, paths: dict[str, str], as_of,
                loaded_at: dict[str, DataFrame] | None = None) -> DataFrame:
     """The data-quality suite: one row per check with failures, severity and status.
 
-    The column checks of a table are one pass over it. ``loaded_at`` maps a
+    Column checks of a model were counted by the job that wrote it (``build_models``), so they
+    scan no model table; those of a staging view are one pass over it. ``loaded_at`` maps a
     source name (``owid_energy``, ``weather_daily``, ``entsoe_generation``) to a
     DataFrame with a ``_loaded_at`` column; a raw table that has this column
     itself need not be given.
@@ -179,33 +223,11 @@ def run_checks(spark: SparkSession, raw: RawInputs, paths: dict[str, str], as_of
     t = {name: spark.read.parquet(p) for name, p in paths.items()}
     daily, profile = t["int_generation_daily"], t["int_country_profile"]
 
-    # Columns that must be present, and accepted values, of each table.
-    columns = [
-        ("stg_owid_energy", ["country_code_iso3", "year"], {"country_code_iso3": COUNTRIES_ISO3}),
-        ("stg_weather_daily", ["country_code", "date", "wind_speed_10m_max_kmh",
-                               "sunshine_duration_hrs", "temperature_avg_c", "precipitation_mm",
-                               "cloud_cover_pct"], {"country_code": COUNTRIES_ISO2}),
-        ("stg_country_reference", ["country_code", "is_eu_member"], {"country_code": COUNTRIES_ISO2}),
-        ("int_generation_daily", ["country_code", "date", "energy_category", "season",
-                                  "generation_mwh"],
-         {"energy_category": CATEGORIES, "season": list(SEASON_MONTHS)}),
-        ("int_generation_yearly", ["country_code", "year"], {}),
-        ("int_weather_generation", ["country_code", "date"], {}),
-        ("int_country_profile", ["country_code", "year", "renewable_share_pct"], {}),
-        ("int_country_group_metrics", ["country_code", "group_name"], {"group_name": GROUPS}),
-        ("mart_energy_mix", ["country_code", "month", "energy_category"], {}),
-        ("mart_weather_correlation", ["country_code", "date"], {}),
-        ("mart_country_independence", ["country_code", "year"], {}),
-        ("mart_fossil_dependency", ["country_code", "month"], {}),
-        ("mart_resilience_score", ["country_code", "year"], {}),
-        ("mart_baltic_story", ["country_code", "date", "brell_period"],
-         {"country_code": BALTIC_COUNTRIES, "brell_period": list(EVENT_LABELS)}),
-    ]
     unique_columns = {"stg_country_reference": ["country_code"]}
     by_column = reduce(DataFrame.unionByName, [
-        Q.column_checks(s[name] if name in s else t[name], name, present, accepted,
-                        unique_columns.get(name, []))
-        for name, present, accepted in columns])
+        model_checks(spark, s[name] if name in s else t[name], name, present, accepted, paths.get(name),
+                     unique_columns.get(name, []))
+        for name, present, accepted in COLUMN_CHECKS])
     column_report = by_column.select(
         F.concat("check_name", F.lit(":"), "table_name", F.lit("."), "column_name").alias("check_name"),
         F.lit("error").alias("severity"), "failures",

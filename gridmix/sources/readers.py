@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from gridmix import schemas
 from gridmix.constants import OWID_COLUMNS, WEATHER_FIELDS
 from gridmix.functions.calendar import as_date, days_before
+from gridmix.operators.sets import union_frames
 
 log = logging.getLogger(__name__)
 
@@ -63,15 +64,41 @@ def read_owid(spark: SparkSession, path: str, columns: list | None = None,
               bad_col: str | None = None) -> tuple[DataFrame, list]:
     """Wide CSV with header -> the wanted columns that exist, typed; plus missing names.
 
-    The file is read as text columns (no inference pass over the data) and only
-    the wanted columns are parsed thanks to CSV column pruning. ``bad_col`` names
-    a column that counts, for each row, the fields that became NULL for their text.
+    ``path`` is a file or a folder of files. Columns are found by name in each
+    file, whatever their order there: files with the same header are read
+    together, and a column that a file lacks is NULL in its rows. Missing are the
+    names that no file has. The rows are read as text columns (no inference pass
+    over the data) and only the wanted columns are parsed thanks to CSV column
+    pruning. ``bad_col`` names a column that counts, for each row, the fields that
+    became NULL for their text.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    df, missing = project_available(raw, columns or OWID_COLUMNS)
-    if bad_col is None:
-        return _typed(df, schemas.OWID_RAW), missing
-    return _typed(df.withColumn(bad_col, bad_values(df, schemas.OWID_RAW)), schemas.OWID_RAW), missing
+    wanted = columns or OWID_COLUMNS
+    frames = [spark.read.option("header", True).option("inferSchema", False).csv(files)
+              for files in files_by_header(spark, path).values()]
+    available = [c for c in wanted if any(c in raw.columns for raw in frames)]
+    missing = [c for c in wanted if c not in available]
+    if missing:
+        log.warning("columns not found in source: %s", missing)
+    typed = []
+    for raw in frames:
+        own = raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in available])
+        if bad_col is not None:
+            own = own.withColumn(bad_col, bad_values(own, schemas.OWID_RAW))
+        typed.append(_typed(own, schemas.OWID_RAW))
+    return union_frames(*typed), missing
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[tuple, list]:
+    """The CSV files at ``path`` by their header, its names in the file's order.
+
+    Reads the first line of each file, one small job a file (a landing folder
+    holds one file a delivery).
+    """
+    out: dict[tuple, list] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        header = tuple(spark.read.option("header", True).option("inferSchema", False).csv(file).columns)
+        out.setdefault(header, []).append(file)
+    return out
 
 
 def zip_arrays_to_rows(df: DataFrame, arrays_col: str, fields: list, time_field: str = "time",
@@ -93,19 +120,21 @@ def zip_arrays_to_rows(df: DataFrame, arrays_col: str, fields: list, time_field:
 
 
 def read_weather_json(spark: SparkSession, path: str, country: str | None = None,
-                      country_pattern: str | None = None) -> DataFrame:
+                      country_pattern: str | None = None, of_path: bool = False) -> DataFrame:
     """JSON documents of parallel daily arrays -> raw weather rows.
 
     The country code is either a constant (one document per call, as the API
     returns it) or extracted from each file's name with ``country_pattern``
-    (first regex group), which lets one read cover a whole landing folder.
+    (first regex group; of its whole path with ``of_path``), which lets one read
+    cover a whole landing folder.
     """
     docs = spark.read.schema(schemas.WEATHER_JSON).option("multiLine", True).json(path)
     if country is not None:
         docs = docs.withColumn("country_code", F.lit(country))
     elif country_pattern is not None:
         docs = docs.withColumn("country_code",
-                               F.regexp_extract(F.col("_metadata.file_name"), country_pattern, 1))
+                               F.regexp_extract(F.col("_metadata.file_path" if of_path else "_metadata.file_name"),
+                                                country_pattern, 1))
     else:
         raise ValueError("give country or country_pattern")
     rows = zip_arrays_to_rows(docs, "daily", WEATHER_FIELDS, "time", "date", keep=["country_code"])

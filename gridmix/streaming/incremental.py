@@ -10,7 +10,11 @@ run and merges the result on the table's unique key. Here that is:
    the slice are kept, slice rows replace or add, and only those partitions
    are overwritten (dynamic partition overwrite). The merged slice is first
    written to the shared checkpoint folder so the job never reads and
-   overwrites the same files in one step.
+   overwrites the same files in one step, and removed from there afterwards.
+
+Rows that come later than the lookback are found by their load time instead
+(``refresh_changed``): only the (country, day) pairs they touch, and the z-scores
+these reach, are computed and written again.
 
 For the weather table (rolling 90-row z-scores) the last 89 stored rows per
 country before the cutoff are read back as window context, so an incremental
@@ -20,15 +24,24 @@ run gives the same z-scores as a full rebuild.
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridmix.constants import LOOKBACK_DAYS, ROLLING_ROWS
+from gridmix.functions.calendar import month_start, utc_day
+from gridmix.operators.joins import matching
+from gridmix.operators.quality import ObservedChecks
 from gridmix.plans import intermediate
-from gridmix.session import scratch_dir
+from gridmix.sources.sinks import Staging, write_table, write_touched
+
+
+#: Columns of the stored daily weather table.
+WEATHER_TABLE = [
+    "country_code", "date", "season", "renewable_mwh", "wind_generation_mwh",
+    "solar_generation_mwh", "total_generation_mwh", *intermediate.WEATHER_COLUMNS,
+    "wind_generation_zscore", "solar_generation_zscore", "is_wind_anomaly", "is_solar_anomaly"]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -84,44 +97,60 @@ def since(df: DataFrame, ts_col: str, cutoff: _dt.date | None, is_timestamp: boo
 
 def merge_on_keys(target: DataFrame, updates: DataFrame, keys: list) -> DataFrame:
     """Logical upsert: target rows without a matching key, plus all update rows."""
-    kept = target.join(updates.select(*keys).distinct(), on=keys, how="left_anti")
+    kept = matching(target, updates, keys, "left_anti")
     return kept.unionByName(updates.select(*target.columns))
 
 
-def _stage(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage)."""
-    root = scratch_dir(spark)
-    if root is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder: the upsert stages "
-                           "its merged slice there before overwriting the target partitions")
-    path = f"{root.rstrip('/')}/gridmix-stage-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def checks_path(path: str) -> str:
+    """Where the failure counts of the table at ``path`` are kept."""
+    return f"{path.rstrip('/')}_checks"
+
+
+def keep_counts(spark: SparkSession, counts: DataFrame, path: str, day: str | None = None,
+                touched: list | None = None) -> None:
+    """Store check counts beside the table at ``path``: all of them, or those of the ``touched`` days
+    in place of what was there. One row per day and check, so bounded by the calendar."""
+    where = checks_path(path)
+    if touched is None or not table_exists(spark, where):
+        write_table(counts, where)
+        return
+    with Staging(spark) as staging:
+        kept = spark.read.parquet(where).filter(~F.col(day).isin(touched) | F.col(day).isNull())
+        write_table(staging.put(kept.unionByName(counts)), where)
 
 
 def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list,
-           partition_col: str = "date") -> None:
-    """Merge ``updates`` into the date-partitioned Parquet table at ``path``.
+           partition_col: str = "date", checks: ObservedChecks | None = None) -> None:
+    """Merge ``updates`` into the Parquet table at ``path``, partitioned by ``partition_col``.
 
     Keys absent from ``updates`` are never deleted. Only partitions that
-    contain update rows are rewritten.
+    contain update rows are rewritten. The same call again changes nothing, so a
+    run that was ended between two partitions is mended by running it again.
+    ``checks`` are counted by partition, from the rows that are rewritten alone
+    (a first build counts the table it wrote), and kept beside the table.
     """
     if not table_exists(spark, path):
-        (updates.repartition(partition_col).write.mode("overwrite")
-         .partitionBy(partition_col).parquet(path))
+        write_table(updates, path, partition_by=partition_col)
+        if checks is not None:
+            keep_counts(spark, checks.by_day(spark.read.parquet(path), partition_col), path)
         return
-    staged_updates = _stage(spark, updates)
-    # The touched partition values: one per day of the slice, bounded by the
-    # calendar (a few days per run, a few thousand for a multi-year backfill).
-    # As a literal IN-list they prune the target's partitions statically, so
-    # only the touched date folders are listed and read.
-    touched = [r[0] for r in staged_updates.select(partition_col).distinct().collect()]
-    target = spark.read.parquet(path)
-    target_slice = target.filter(F.col(partition_col).isin(touched))
-    merged = _stage(spark, merge_on_keys(target_slice, staged_updates, keys))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (merged.select(*target.columns).repartition(partition_col).write.mode("overwrite")
-     .partitionBy(partition_col).parquet(path))
+    with Staging(spark) as staging:
+        staged_updates = staging.put(updates)
+        # The touched partition values: one per day of the slice, bounded by the
+        # calendar (a few days per run, a few thousand for a multi-year backfill).
+        # As a literal IN-list they prune the target's partitions statically, so
+        # only the touched date folders are listed and read.
+        touched = [r[0] for r in staged_updates.select(partition_col).distinct().collect()]
+        if not touched:
+            return
+        target = spark.read.parquet(path)
+        target_slice = target.filter(F.col(partition_col).isin(touched))
+        merged = staging.put(merge_on_keys(target_slice, staged_updates, keys))
+        write_touched(merged.select(*target.columns), path, partition_col)
+        if checks is not None:
+            if not table_exists(spark, checks_path(path)):
+                merged, touched = spark.read.parquet(path), None
+            keep_counts(spark, checks.by_day(merged, partition_col), path, partition_col, touched)
 
 
 # ------------------------------------------------------------ daily tables ----
@@ -159,47 +188,132 @@ def refresh_weather_generation(spark: SparkSession, hourly: DataFrame, weather:
 
 def refresh_daily(spark: SparkSession, hourly: DataFrame, weather: DataFrame, generation_path: str,
                   weather_path: str, lookback_days: int = LOOKBACK_DAYS, n: int = ROLLING_ROWS,
-                  raw_partition_col: str | None = None, **rollup_params) -> _dt.date | None:
+                  raw_partition_col: str | None = None, checks: dict[str, ObservedChecks] | None = None,
+                  **rollup_params) -> _dt.date | None:
     """Build or refresh both daily tables from one scan of the hourly rows.
 
     The rollup of the slice is written once to the shared folder and both
     tables are put from it. The slice starts at the earlier cutoff of the two
     tables, which is returned; it is everything if one of them doesn't exist yet.
+    ``checks`` (by table: ``generation``, ``weather``) are counted with the writes.
     """
+    checks = checks or {}
     cutoffs = [lookback_cutoff(spark, p, "date", lookback_days)
                for p in (generation_path, weather_path)]
     cutoff = None if None in cutoffs else min(cutoffs)
-    rollup = _stage(spark, intermediate.generation_rollup(
-        since(hourly, "datetime_utc", cutoff, partition_col=raw_partition_col), **rollup_params))
-    _put_generation(spark, since(rollup, "date", cutoffs[0], is_timestamp=False), generation_path)
-    _put_weather(spark, since(rollup, "date", cutoffs[1], is_timestamp=False), weather,
-                 weather_path, cutoffs[1], n)
+    with Staging(spark) as staging:
+        rollup = staging.put(intermediate.generation_rollup(
+            since(hourly, "datetime_utc", cutoff, partition_col=raw_partition_col), **rollup_params))
+        _put_generation(spark, since(rollup, "date", cutoffs[0], is_timestamp=False), generation_path,
+                        checks.get("generation"))
+        _put_weather(spark, since(rollup, "date", cutoffs[1], is_timestamp=False), weather,
+                     weather_path, cutoffs[1], n, checks.get("weather"))
     return cutoff
 
 
-def _put_generation(spark: SparkSession, rollup: DataFrame, path: str) -> None:
+def newest_load(hourly: DataFrame, loaded_col: str = "_loaded_at"):
+    """Load time of the newest raw row: the mark for the next ``refresh_changed``."""
+    return max_date(hourly, loaded_col)
+
+
+def changed_days(hourly: DataFrame, mark, ts_col: str = "datetime_utc",
+                 loaded_col: str = "_loaded_at") -> DataFrame:
+    """Distinct (country_code, date) that raw rows loaded after ``mark`` belong to."""
+    loaded = hourly.filter(F.col(loaded_col) > F.lit(mark))
+    return loaded.select("country_code", utc_day(ts_col).alias("date")).distinct()
+
+
+def refresh_changed(spark: SparkSession, hourly: DataFrame, weather: DataFrame, generation_path: str,
+                    weather_path: str, mark, n: int = ROLLING_ROWS, partition_col: str = "date",
+                    raw_partition_col: str | None = None, **rollup_params) -> _dt.datetime | None:
+    """Refresh both daily tables for rows loaded after ``mark``, however old their days are.
+
+    The change set is the (country, day) pairs those rows touch. They are rolled
+    up again from all their raw rows and replace what is stored; the z-scores of
+    the ``n - 1`` stored rows of the country after each of them are computed
+    again. Only partitions that hold such a row are rewritten, and the result
+    equals a full rebuild. Running it again with the same mark changes nothing.
+    Returns the mark for the next run (the newest load time); rows without a
+    load time are no changes and rows without a time belong to no day; both come in
+    with a full build alone.
+    """
+    newest = newest_load(hourly)
+    with Staging(spark) as staging:
+        changed = staging.put(changed_days(hourly, mark))
+        days = touched_days(changed)
+        if days:
+            slice_ = since(hourly, "datetime_utc", min(days))
+            if raw_partition_col is not None:
+                slice_ = slice_.filter(F.col(raw_partition_col).isin(days))
+            # Literal days first, which prune the scan; then the exact pairs.
+            day = utc_day("datetime_utc")
+            slice_ = matching(slice_.filter(day.isin(days)).withColumn("date", day), changed, ["country_code", "date"])
+            rollup = staging.put(intermediate.generation_rollup(slice_, **rollup_params))
+            put_changed(spark, staging, rollup, weather, generation_path, weather_path, n, partition_col)
+    return newest
+
+
+def touched_days(changed: DataFrame) -> list[_dt.date]:
+    """The days of a change set, ordered (bounded by the calendar)."""
+    return sorted(r[0] for r in changed.select("date").where("date is not null").distinct().collect())
+
+
+def put_changed(spark: SparkSession, staging: Staging, rollup: DataFrame, weather: DataFrame,
+                generation_path: str, weather_path: str, n: int = ROLLING_ROWS,
+                partition_col: str = "date") -> None:
+    """Put the whole rollup of some (country, day) pairs into both daily tables.
+
+    ``rollup`` holds all categories of each pair and is stored (staged) already.
+    """
+    daily = _with_partition(intermediate.int_generation_daily(rollup), partition_col)
+    upsert(spark, daily, generation_path, ["country_code", "date", "energy_category"], partition_col)
+    fresh = intermediate.weather_daily_generation(rollup)
+    wx = weather.select("country_code", "date", *intermediate.WEATHER_COLUMNS)
+    fresh = staging.put(fresh.join(wx, ["country_code", "date"], "left"))
+    series = fresh.withColumn("_new", F.lit(True))
+    days = touched_days(fresh)
+    if not days:
+        return
+    if table_exists(spark, weather_path):
+        stored = spark.read.parquet(weather_path).select(*fresh.columns)
+        countries = fresh.select("country_code").distinct()
+        context = rows_before(stored, countries, days[0], n - 1)
+        later = matching(matching(stored.filter(F.col("date") >= F.lit(days[0])), countries, ["country_code"]),
+                         fresh, ["country_code", "date"], "left_anti")
+        series = series.unionByName(context.unionByName(later).withColumn("_new", F.lit(False)))
+    # A row's z-score changes where one of the n rows up to it is new.
+    reach = Window.partitionBy("country_code").orderBy("date").rowsBetween(-(n - 1), 0)
+    scored = intermediate.add_zscores(series.withColumn("_reached", F.max("_new").over(reach)), n)
+    out = _with_partition(scored.filter("_reached").select(*WEATHER_TABLE), partition_col)
+    upsert(spark, out, weather_path, ["country_code", "date"], partition_col)
+
+
+def _with_partition(df: DataFrame, partition_col: str) -> DataFrame:
+    """Add the month as a partition column where the table is partitioned by months."""
+    return df.withColumn("month", month_start("date")) if partition_col == "month" else df
+
+
+def _put_generation(spark: SparkSession, rollup: DataFrame, path: str,
+                    checks: ObservedChecks | None = None) -> None:
     upsert(spark, intermediate.int_generation_daily(rollup), path,
-           ["country_code", "date", "energy_category"])
+           ["country_code", "date", "energy_category"], checks=checks)
 
 
 def _put_weather(spark: SparkSession, rollup: DataFrame, weather: DataFrame, path: str,
-                 cutoff: _dt.date | None, n: int) -> None:
+                 cutoff: _dt.date | None, n: int, checks: ObservedChecks | None = None) -> None:
     fresh = intermediate.weather_daily_generation(rollup)
     wx = weather.select("country_code", "date", *intermediate.WEATHER_COLUMNS)
     fresh = fresh.join(wx, ["country_code", "date"], "left")
-    if cutoff is not None:
-        fresh = _stage(spark, fresh)
-        context = rows_before(spark.read.parquet(path), fresh.select("country_code"), cutoff, n - 1)
-        fresh = context.select(*fresh.columns).withColumn("_ctx", F.lit(True)).unionByName(
-            fresh.withColumn("_ctx", F.lit(False)))
-    else:
-        fresh = fresh.withColumn("_ctx", F.lit(False))
-    scored = intermediate.add_zscores(fresh, n).filter(~F.col("_ctx")).drop("_ctx")
-    out = scored.select(
-        "country_code", "date", "season", "renewable_mwh", "wind_generation_mwh",
-        "solar_generation_mwh", "total_generation_mwh", *intermediate.WEATHER_COLUMNS,
-        "wind_generation_zscore", "solar_generation_zscore", "is_wind_anomaly", "is_solar_anomaly")
-    upsert(spark, out, path, ["country_code", "date"])
+    with Staging(spark) as staging:
+        if cutoff is not None:
+            fresh = staging.put(fresh)
+            context = rows_before(spark.read.parquet(path), fresh.select("country_code"), cutoff, n - 1)
+            fresh = context.select(*fresh.columns).withColumn("_ctx", F.lit(True)).unionByName(
+                fresh.withColumn("_ctx", F.lit(False)))
+        else:
+            fresh = fresh.withColumn("_ctx", F.lit(False))
+        scored = intermediate.add_zscores(fresh, n).filter(~F.col("_ctx"))
+        upsert(spark, scored.select(*WEATHER_TABLE), path, ["country_code", "date"], checks=checks)
 
 
 def rows_before(stored: DataFrame, keys: DataFrame, cutoff: _dt.date, rows: int,
@@ -221,8 +335,8 @@ def rows_before(stored: DataFrame, keys: DataFrame, cutoff: _dt.date, rows: int,
     before = stored.filter(F.col("date") < F.lit(cutoff))
     near = before.filter(F.col("date") >= F.lit(start))
     held = near.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    short = wanted.join(held, key, "left").filter(F.coalesce("_n", F.lit(0)) < rows).select(key)
-    out = last(near.join(wanted, key, "left_semi"))
+    short = matching(wanted, held.filter(F.col("_n") >= rows), [key], "left_anti")
+    out = last(matching(near, wanted, [key]))
     if short.isEmpty():
         return out
-    return out.join(short, key, "left_anti").unionByName(last(before.join(short, key, "left_semi")))
+    return matching(out, short, [key], "left_anti").unionByName(last(matching(before, short, [key])))

@@ -93,3 +93,30 @@ def test_materialize_writes_under_the_checkpoint_dir(spark):
     assert files and all(f.startswith(root + "/gridmix-unit-test-") for f in files)
     assert df.agg(F.sum("x")).first()[0] == 90
     assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()  # lineage cut
+
+
+def test_read_owid_finds_columns_by_name_in_each_file(spark, tmp_dir):
+    """Files with other column orders, a file without a column, and one with an extra column."""
+    folder = os.path.join(tmp_dir, "owid")
+    os.makedirs(folder)
+    files = {"a.csv": ["iso_code", "country", "year", "renewables_share_elec", "solar_share_elec"],
+             "b.csv": ["solar_share_elec", "extra", "renewables_share_elec", "year", "iso_code", "country"],
+             "c.csv": ["iso_code", "country", "year", "solar_share_elec"]}
+    for name, cols in files.items():
+        values = {"iso_code": name[0].upper() * 3, "country": "x", "year": "2024", "extra": "?",
+                  "renewables_share_elec": "20", "solar_share_elec": "3"}
+        open(os.path.join(folder, name), "w").write(",".join(cols) + "\n" + ",".join(values[c] for c in cols) + "\n")
+    df, missing = read_owid(spark, folder, bad_col="bad")
+    assert "renewables_share_elec" not in missing and "hydro_share_elec" in missing
+    assert rows(df, "iso_code", "year", "renewables_share_elec", "solar_share_elec", "bad", order=["iso_code"]) == [
+        ("AAA", 2024, 20.0, 3.0, 0), ("BBB", 2024, 20.0, 3.0, 0), ("CCC", 2024, None, 3.0, 0)]
+
+
+def test_full_replace_removes_partitions_that_are_gone(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    for mode in ("dynamic", "static"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        write_table(spark.createDataFrame([(1, d("2025-01-01")), (2, d("2025-01-02"))], "v int, date date"), path, "date")
+        write_table(spark.createDataFrame([(3, d("2025-01-02"))], "v int, date date"), path, "date")
+        assert rows(spark.read.parquet(path), "v", "date") == [(3, d("2025-01-02"))]
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
