@@ -305,3 +305,100 @@ def test_near_copies_go_by_row(spark, tmp_path):
     found = sorted(((r["doc_id"] or 0, " ".join(r["text"].split())) for r in out.collect()))
     assert found == sorted([(1, text(0)), (1, text(1)), (3, text(2)), (0, text(3)), (0, text(4))])
     assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+# Pages: no article is lost, and time and memory are linear in the depth
+
+
+def texts_of(spark, rows):
+    df = spark.createDataFrame([(i, u, x) for i, (u, x) in enumerate(rows)], "page_id long, url string, html string").repartition(3)
+    return [r["text"] for r in html_extract.main_text(df).orderBy("page_id").collect()]
+
+
+def words(n, tag=""):
+    return " ".join(f"{tag}w{i}" for i in range(n))
+
+
+def test_a_nearly_empty_usual_container_does_not_win(spark):
+    usual = [("http://h.example/", f"<main><p>{words(60, i)}</p></main>") for i in range(10)]
+    odd = ("http://h.example/o", f"<body><main><p>Loading</p></main><div class='story'><p>{words(90)}</p></div></body>")
+    got = texts_of(spark, [*usual, odd])
+    assert got[:10] == [words(60, i) for i in range(10)] and words(90) in got[10]
+
+
+def test_many_templates_of_a_host_are_all_tried(spark):
+    rows = [("http://h.example/", f"<body><div class='{c}'><p>{words(80, c)}</p></div><p>x</p></body>") for c in "abcdefghij" for _ in range(2)]
+    # The page of a rare template has a teaser in a usual container, div or article.
+    for tag in ("div class='a'", "article class='teaser'"):
+        page = f"<body><{tag}><p>a teaser of some few words</p></{tag.split()[0]}><div class='rare'><p>{words(80)}</p></div></body>"
+        got = texts_of(spark, [*rows, ("http://h.example/", page)])
+        assert words(80) in got[-1]
+        assert all(words(80, c) in t for c, t in zip("aabbccddeeffgghhiijj", got))
+
+
+def test_article_text_in_a_sibling_container_stays(spark):
+    page = f"<body><div class='wrap'><div class='lead'><p>{words(16, 'lead')}</p></div><div class='body'><p>{words(184)}</p></div></div></body>"
+    plain = f"<body><div class='wrap'><div class='body'><p>{words(100)}</p></div></div></body>"
+    got = texts_of(spark, [("http://h.example/1", page)] + [("http://h.example/2", plain)] * 9)
+    assert got[0] == words(16, "lead") + "\n" + words(184) and got[1:] == [words(100)] * 9
+    assert texts_of(spark, [("http://i.example/1", page)] * 2) == [words(16, "lead") + "\n" + words(184)] * 2
+
+
+def test_xmp_math_and_headers_of_articles(spark):
+    page = (f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1><p>by</p><nav><h2>no</h2></nav></header><p>{words(20)}"
+            "<math><mi>x</mi><annotation>no</annotation></math></p><xmp>a <b> &amp; c</xmp><p class='share-price'>up</p>"
+            "<p class='notice'>no</p><div class='share-box'>no</div></article></body>")
+    assert texts_of(spark, [("http://h.example/", page)]) == [f"Title\n{words(20)}x\na <b> &amp; c\nup"]
+
+
+def test_deep_pages_take_linear_memory():
+    import resource
+    import time
+
+    times = []
+    for depth in (50_000, 100_000):
+        page = "<div class='d'>" * depth + f"<p>{words(30)}</p>" + "</div>" * depth
+        start = time.process_time()
+        parsed = html_extract.blocks(page)
+        best = html_extract.best_path(parsed)
+        assert html_extract.extract(parsed, [best[0]]) == words(30)
+        times.append(time.process_time() - start)
+    marked = "<div class='ad x'><div class='sidebar y'>" * 20_000 + "text" + "</i>" * 20_000
+    assert html_extract.blocks(marked).rows
+    assert times[1] < 4 * times[0] + 1
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < 1_500_000  # KB, the test session with it
+
+
+def plain_choice(pages):
+    """Texts by a plain restatement of the vote: trees of (path, blocks), chains and votes by path strings."""
+    kinds, votes = [], Counter()
+    for page in pages:
+        parsed = html_extract.blocks(page)
+        paths = [""]
+        for parent, name in zip(parsed.parents[1:], parsed.names[1:]):
+            paths.append(f"{paths[parent]}>{name}")
+        rows = [(paths[n], t, 0 if len(t) <= 2 * k else len(t) - k) for n, skip, t, k in parsed.rows if not skip]
+        best = html_extract.best_path(parsed)
+        if best:
+            votes[paths[best[0]]] += round(best[1] * 1000)
+        kinds.append((paths[best[0]] if best else "", rows))
+    out = []
+    for best, rows in kinds:
+        parts = best.split(">")[1:]
+        chain = [">" + ">".join(parts[:i]) for i in range(1, len(parts) + 1)]
+        won = max([c for c in chain if votes[c]], key=lambda c: (votes[c], -len(c)), default="")
+        out.append("\n".join(t for p, t, _ in rows if p == won or p.startswith(won + ">") or not won))
+    return out
+
+
+def test_votes_equal_a_plain_restatement(spark):
+    rng = np.random.default_rng(9)
+    pages = []
+    for i in range(60):
+        def box(depth):
+            if depth == 0 or rng.random() < 0.3:
+                return f"<p>{words(int(rng.integers(1, 25)), i)}</p>"
+            inner = "".join(box(depth - 1) for _ in range(int(rng.integers(1, 4))))
+            return f"<div class='{rng.choice(list('abc'))}'>{inner}</div>"
+        pages.append(f"<body>{box(4)}</body>")
+    assert texts_of(spark, [("http://h.example/", p) for p in pages]) == plain_choice(pages)
