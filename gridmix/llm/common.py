@@ -22,23 +22,31 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """Place of a column, by exact name first and by any case else."""
+    exact = [i for i, c in enumerate(df.columns) if c == name]
+    loose = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if not (exact or loose):
+        raise ValueError(f"no column {name!r} in {df.columns}")
+    return (exact or loose)[0]
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, by exact name first and by any case else.
 
     Extra columns go, so they cannot clash with what an operator adds, not even
     columns whose names differ only in case.
     """
-    where = []
-    for name in names:
-        exact = [i for i, c in enumerate(df.columns) if c == name]
-        loose = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
-        if not (exact or loose):
-            raise ValueError(f"no column {name!r} in {df.columns}")
-        where.append((exact or loose)[0])
+    where = [place_of(df, name) for name in names]
     if len({c.lower() for c in df.columns}) == len(df.columns):
         return df.select(*[F.col(f"`{df.columns[i]}`").alias(n) for i, n in zip(where, names)])
-    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"c{i}").alias(n) for i, n in zip(where, names)])
+    return numbered(df).select(*[F.col(f"c{i}").alias(n) for i, n in zip(where, names)])
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns called c0, c1, ...: whatever they were called, these clash with nothing.
+    ``toDF(*df.columns)`` names them back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import file_bytes, pick, stored, text_runs
+from gridmix.llm.common import file_bytes, numbered, pick, place_of, stored, text_runs
 from gridmix.llm.word_bpe import WordBpe
 
 #: Pieces that one task ranks together.
@@ -152,12 +152,18 @@ def assign_windows(pieces: DataFrame, window: int = 4096, block: int = BLOCK) ->
     """Give each piece (a row with ``length`` in 1..window) a sequence_id and an offset there.
 
     Sequence ids are 0, 1, ... without gaps. Offsets in a sequence leave no
-    gap. The other columns of ``pieces`` stay. An empty table gives an empty one.
+    gap. The other columns of ``pieces`` stay, whatever they are called, but for a
+    sequence_id and an offset, which are replaced. Equal rows are packed each. An
+    empty table gives an empty one; a null length is an error like one out of range.
     """
     spark = pieces.sparkSession
-    held = stored(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    names = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    plain = numbered(pieces)
+    own = [f"c{i}" for i, c in enumerate(pieces.columns) if c in names]
+    held = stored(plain.select(*own, F.col(f"c{place_of(pieces, 'length')}").cast("long").alias("length"),
+                               F.monotonically_increasing_id().alias("_row")), "pieces")
     counts = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    if any(not 1 <= n <= window for n in counts):
+    if any(n is None or not 1 <= n <= window for n in counts):
         raise ValueError(f"lengths must lie in 1..{window}")
     runs = best_fit(counts, window)
     first, before, blocks = {}, 0, []
@@ -179,7 +185,7 @@ def assign_windows(pieces: DataFrame, window: int = 4096, block: int = BLOCK) ->
 
     #: Bounded by the window: each length opens at most two groups of windows.
     plan = spark.sparkContext.broadcast(np.array(runs, dtype=np.int64).reshape(-1, 5))
-    kept = [c for c in ranked.columns if c != "_rank"]
+    kept = own
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = plan.value
@@ -194,7 +200,7 @@ def assign_windows(pieces: DataFrame, window: int = 4096, block: int = BLOCK) ->
                 [*kept, "sequence_id", "offset"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.select(*kept).schema)
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long").toDF(*names, "sequence_id", "offset")
 
 
 def run_of(runs: list[tuple[int, int, int, int, int]], rank: int) -> tuple[int, int]:

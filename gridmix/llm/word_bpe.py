@@ -3,13 +3,15 @@
 The library's own ``encode`` spends most of its time on normalisation and on
 words it has seen. Texts are normalised whole, split at white space, and each
 distinct word goes through the library's merges once while it stays in a cache
-of bounded size; the ids are the library's.
+of bounded size; the ids are the library's, with its defaults: added tokens are
+found in the text as it stands, and what is between them is encoded apart.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 
 import regex
@@ -20,6 +22,28 @@ SEPARATORS = regex.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
 
 
+def assigned_later() -> str:
+    """A pattern of the characters that ``regex`` knows and ``unicodedata`` doesn't yet. The library's parts are
+    of several Unicode versions, so texts that hold such characters are left to it."""
+    known = regex.findall(r"\P{Cn}", "".join(map(chr, [*range(128, 0xD800), *range(0xE000, 0x110000)])))
+    later = [ord(c) for c in known if unicodedata.category(c) == "Cn"]
+    ranges: list[list[int]] = []
+    for c in later:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]" if ranges else "(?!)"
+
+
+def latin(text: str) -> bool:
+    """Whether all characters are below U+0100, none of which is new."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
     plain = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)}
@@ -35,10 +59,18 @@ class WordBpe:
         spec = json.loads(source)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"]).findall
+        self.later = re.compile(assigned_later())
+        self.library = Tokenizer.from_str(json.dumps(spec))
+        self.added = {t["content"]: t["id"].to_bytes(4, "little") for t in spec["added_tokens"]}
+        if any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
+            raise ValueError("added tokens that take part in normalisation or strip what is beside them")
+        # The longest of those that begin at a place is found.
+        self.parting = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.letters = byte_letters()
         # The same merges behind a plain split at spaces: pieces come cut and normalised.
         self.merges = Tokenizer.from_str(json.dumps(
             spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
+        #: Ids of words; an added token stands here behind a space, which no word holds.
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.most = cache_words
@@ -54,6 +86,15 @@ class WordBpe:
         low = text.lower()
         return SPACE.split(low) if SEPARATORS.search(low) else low.split()
 
+    def parted(self, text: str) -> list[str]:
+        """The words of a text, and its added tokens behind a space."""
+        out: list[str] = []
+        at = 0
+        for m in self.parting.finditer(text):
+            out += [*self.normal(text[at:m.start()]), f" {m[0]}"]
+            at = m.end()
+        return out + self.normal(text[at:]) if out else self.normal(text)
+
     def _merge(self, parts: list[str]) -> None:
         """Put the ids of distinct pieces, none of them known, into the cache."""
         letters = self.letters
@@ -69,15 +110,19 @@ class WordBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
-        lists = [self.normal(t) for t in texts]
+        late = {i for i, t in enumerate(texts) if not latin(t) and self.later.search(t)}
+        lists = [[] if i in late else self.parted(t) for i, t in enumerate(texts)]
         words, parts = self.words, self.parts
         new = set().union(*lists).difference(words)
-        cut = [(w, self.pieces(w)) for w in new]
+        words.update({w: self.added[w[1:]] for w in new if w[:1] == " "})
+        cut = [(w, self.pieces(w)) for w in new if w[:1] != " "]
         new_parts = {p for _, own in cut for p in own}.difference(parts)
         self._merge(list(new_parts))
         for w, own in cut:
             words[w] = parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own])
         out = [b"".join([words[w] for w in ws]) for ws in lists]
+        for i in late:
+            out[i] = b"".join([n.to_bytes(4, "little") for n in self.library.encode(texts[i], add_special_tokens=False).ids])
         if len(words) > self.most:  # the words met first, the frequent ones, stay
             for w in new:
                 del words[w]

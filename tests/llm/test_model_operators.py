@@ -402,3 +402,72 @@ def test_votes_equal_a_plain_restatement(spark):
             return f"<div class='{rng.choice(list('abc'))}'>{inner}</div>"
         pages.append(f"<body>{box(4)}</body>")
     assert texts_of(spark, [("http://h.example/", p) for p in pages]) == plain_choice(pages)
+
+
+CLASHING = ("doc_id long, text string, TEXT string, _id int, _hash string, _row int, c0 double, fp long, root long, first long, "
+            "component_id long, base int, blocks int, length string, score double, n_words int, keep array<int>")
+
+
+def clashing_table(spark, texts):
+    rows = [(i, t, "other", 7, "h", i or 0, 0.5, 1, 2, 3, 4, 5, 6, "l", 0.25, 9, [1, 2]) for i, t in texts]
+    return spark.createDataFrame(rows, CLASHING)
+
+
+def as_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_stages_return_the_columns_and_values_of_their_input(spark, tmp_path):
+    import corpus_pipeline
+
+    good = [" ".join(["the", "word", "of", "some", "length", "and", "more"][k % 7] + str(k) * (k % 7 not in (0, 2, 5)) + "abcdefgh"[i] * (k % 3 == 1)
+                     for k in range(60)) for i in range(4)]
+    texts = [(i, t) for i, t in enumerate(good)] + [(9, good[0]), (10, None), (None, ""), (11, "short"), (0, good[0])]
+    docs = clashing_table(spark, texts)
+    assert len(docs.columns) == len(CLASHING.split(", "))
+    spark.createDataFrame([(0, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    all_rows = as_rows(docs)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        got = as_rows(out)
+        assert set(map(str, got)) <= set(map(str, all_rows))
+        ids = [r[0] for r in got]
+        if name == "toxicity":
+            assert got == all_rows
+        elif name == "quality_rules":
+            assert sorted(ids) == [0, 0, 1, 2, 3, 9]
+        else:
+            assert sorted(i for i in ids if i is not None and i < 9) == [0, 1, 2, 3] and len(ids) == 6
+        empty = stage(spark, docs.limit(0), str(tmp_path))
+        assert empty.columns == docs.columns and empty.count() == 0
+    packed = corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in packed) == sorted((i is None, i or 0) for i, _ in texts)
+    assert corpus_pipeline.pack(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_rows_equal_in_id_and_text_leave_the_same_one(spark, tmp_path):
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text, f"lang{i}") for i in range(20)]
+    kept = {as_rows(corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(n), ""))[0]
+            for order, n in ((rows, 1), (rows[::-1], 3), (rows[7:] + rows[:7], 5))}
+    assert len(kept) == 1
+
+
+def test_windows_keep_columns_of_any_name(spark):
+    from gridmix.llm import packing
+
+    rows = [(i, 1 + i % 9, i, "x", i, 5, 6) for i in range(50)]
+    df = spark.createDataFrame(rows, "base long, length long, blocks long, _rank string, n long, LENGTHS int, offset int")
+    out = packing.assign_windows(df, 16, block=3)
+    assert out.columns == ["base", "length", "blocks", "_rank", "n", "LENGTHS", "sequence_id", "offset"]
+    got = out.collect()
+    assert sorted((r["base"], r["length"], r["blocks"], r["_rank"], r["n"]) for r in got) == [(i, 1 + i % 9, i, "x", i) for i in range(50)]
+    used = Counter()
+    for r in got:
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 16 and sum(used.values()) == sum(r[1] for r in rows)
+    with pytest.raises(ValueError):
+        packing.assign_windows(spark.createDataFrame([(None,)], "length long"), 16)

@@ -1,5 +1,6 @@
 """Operators over documents, held against plain brute force."""
 
+import random
 import re
 from collections import Counter
 from itertools import combinations
@@ -65,14 +66,28 @@ def test_word_bpe_equals_library(plain):
 
     path = vocabulary("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     texts = [t or "" for _, t in plain]
+    some = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "hello", "É", "é", "\u0558", "\ua7cb", "x", "1", "\n", "'s", "Σ", "\x1c"]
+    rng = random.Random(1)
+    texts += ["".join(rng.choice(some) for _ in range(rng.randrange(12))) for _ in range(3000)]
     small = WordBpe(file_bytes(path), cache_words=50)  # a cache that is always full
     for _ in range(2):
         assert [list(np.frombuffer(x, "<u4")) for x in small.encode(texts)] == [
             e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_word_bpe_equals_library_on_every_character():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), WordBpe(file_bytes(path))
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    for at in range(0, len(points), 1 << 16):
+        texts = [f"A{chr(c)}b {chr(c)}{chr(c)}1" for c in points[at:at + (1 << 16)]]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [
+            e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_packing_keeps_every_id_once(docs, plain):
     pieces = packing.cut_documents(docs, vocabulary("word_bpe_49k.json"), window=64)
     found = packing.assign_windows(pieces, window=64, block=7).collect()
