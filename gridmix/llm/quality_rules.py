@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import pick
+from gridmix.llm.common import numbered, pick, place_of
 
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -155,11 +155,13 @@ def base(values: Column, min_words: int, max_repeat_percent: int) -> Column:
 
 def without_poor(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int = 10, max_repeat_percent: int = 20,
                  text_col: str = "text") -> DataFrame:
-    """``docs`` as it is, without the rows that fail the base rule or a rule.
+    """``docs`` as it is, all its columns whatever they are called, without the rows that fail the
+    base rule or a rule. A null or empty text fails, repeated rows stay or go together, and an empty
+    table stays empty.
 
     The verdict is one expression over counts bound once: a filter on counted
     columns would be pushed below them, and each use would count anew.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.where(let(counts(text), lambda c: reduce(
-        lambda x, y: x & y, [holds(r, c) for r in rules], ~base(c, min_words, max_repeat_percent))))
+    text = F.coalesce(F.col(f"c{place_of(docs, text_col)}").cast("string"), F.lit(""))
+    return numbered(docs).where(let(counts(text), lambda c: reduce(
+        lambda x, y: x & y, [holds(r, c) for r in rules], ~base(c, min_words, max_repeat_percent)))).toDF(*docs.columns)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import pick, stored, text_runs
+from gridmix.llm.common import numbered, pick, place_of, stored, text_runs
 
 #: Bounds of the fit: labelled rows in the sample (those of least hash), and features.
 SAMPLE_ROWS = 20_000
@@ -245,14 +245,16 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """``docs`` as it is, without the rows that score ``threshold`` or more."""
+    """``docs`` as it is, all its columns whatever they are called, without the rows that score
+    ``threshold`` or more. A null text is empty, equal texts score alike, and an empty table stays empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text_col)
+    place = place_of(docs, text_col)
+    plain = numbered(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
-            keep = [own.score(text.as_py() or "")[0] < threshold for text in batch.column(place)]
+            keep = [own.score(str(text.as_py() or ""))[0] < threshold for text in batch.column(place)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
