@@ -9,27 +9,53 @@ once. Only DataFrame functions are used.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
-from gridmix.llm.common import pick, stored
+from gridmix.llm.common import numbered, place_of, stored
 
 BITS = 4
 #: Rows that one task orders together.
 BLOCK = 2_000
+#: Distinct values that one task orders together.
+VALUES = 50_000
+#: The grid has two to the power of this many cells at most.
+GRID_BITS = 16
 
 
-def code(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column; of a string, its first seven bytes."""
-    if isinstance(df.schema[name].dataType, StringType):
-        start = F.rpad(F.hex(F.substring(F.encode(name, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(start, 16, 10).cast("double")
-    return F.col(name).cast("double")
+def cell_starts(df: DataFrame, name: str, cells: int) -> list[tuple[Column, int]]:
+    """(value, cell), ascending: the first value of each of the ``cells`` cells of equal depth that has one.
+
+    A value is in cell floor(cells * r / n) if r of the n values that aren't null
+    are before it: whole values are counted and ordered, whatever their type, so
+    long common beginnings of strings don't matter. Running sums go over ranges
+    of values of bounded size. At most ``cells`` - 1 rows reach the driver.
+    """
+    counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n"))
+    counts = stored(counts, "values")
+    size = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("values")).first()
+    if not size["values"]:
+        return []
+    ranges = -(-size["values"] // VALUES)
+    ordered = counts.withColumn("part", F.lit(0))
+    if ranges > 1:  # a range's number is kept with its values when they are written
+        ordered = stored(counts.repartitionByRange(ranges, "v").withColumn("part", F.spark_partition_id()), "ranges")
+    past = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ordered.groupBy("part").agg(F.sum("n").alias("all")).select(  # one row for each VALUES values
+        "part", F.coalesce(F.sum("all").over(past), F.lit(0)).alias("base"))
+    before = F.col("base") + F.coalesce(F.sum("n").over(
+        Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cell = F.floor(before * F.lit(cells) / F.lit(size["rows"]).cast("decimal(20,0)")).cast("int")
+    placed = ordered.join(bases, "part").select("v", cell.alias("cell"))
+    starts = placed.where("cell > 0").groupBy("cell").agg(F.min("v").alias("v"))
+    kind = df.schema[name].dataType
+    if not isinstance(kind, (StringType, BinaryType)):  # as text, which Spark reads back in its own time zone
+        starts = starts.withColumn("v", F.col("v").cast("string"))
+    return [(F.lit(r["v"]).cast(kind), r["cell"]) for r in sorted(starts.collect(), key=lambda r: r["cell"])]
 
 
 def curve_cells(spark: SparkSession, dims: int, bits: int) -> DataFrame:
@@ -66,22 +92,21 @@ def curve_cells(spark: SparkSession, dims: int, bits: int) -> DataFrame:
 
 
 def on_curve(df: DataFrame, dims: Sequence[str], bits: int = BITS) -> DataFrame:
-    """``df`` and its ``curve`` place. Cut points are quantiles of all rows; a null is in the first cell."""
-    steps = [k / (1 << bits) for k in range(1, 1 << bits)]
-    cuts = df.agg(*[F.percentile_approx(code(df, d), F.array(*map(F.lit, steps)), F.lit(10_000)).alias(f"q{i}")
-                    for i, d in enumerate(dims)]).first()
+    """``df`` and its ``curve`` place by the columns ``dims``, of any type that has an order. A null is in the first cell."""
     cell = F.lit(0).cast("long")
-    for i, d in enumerate(dims):
-        value = F.coalesce(code(df, d), F.lit(-math.inf))
-        place = reduce(lambda x, y: x + y, [(value > F.lit(c)).cast("long") for c in cuts[i] or []], F.lit(0).cast("long"))
+    for d in dims:
+        place = F.lit(0).cast("long")
+        for value, number in cell_starts(df, d, 1 << bits):
+            place = F.when(F.col(d) >= value, F.lit(number).cast("long")).otherwise(place)
         cell = F.shiftleft(cell, bits) + place
     #: 2 ** (dims * bits) rows, whatever the input.
     grid = F.broadcast(curve_cells(df.sparkSession, len(dims), bits))
     return df.withColumn("cell", cell).join(grid, "cell").drop("cell")
 
 
-def ranked(df: DataFrame, order: str, block: int = BLOCK) -> DataFrame:
-    """``df`` (written, with a unique ``_row``) and its 0-based ``rank`` by ``order``.
+def ranked(df: DataFrame, order: str, block: int = BLOCK, values: int = 1 << GRID_BITS) -> DataFrame:
+    """``df`` (written, with a unique ``_row``) and its 0-based ``rank`` by ``order``, which has ``values``
+    values at most.
 
     Rows of one value are split into hashed blocks; rows are numbered in each
     block, and blocks by running sums of their sizes, so no value meets in one task.
@@ -90,7 +115,9 @@ def ranked(df: DataFrame, order: str, block: int = BLOCK) -> DataFrame:
     blocks = totals.select(
         order, F.ceil(F.col("n") / block).alias("blocks"),
         F.coalesce(F.sum("n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    keyed = df.join(F.broadcast(blocks), order).withColumn("_block", F.pmod(F.xxhash64("_row"), F.col("blocks")))
+    if values <= 1 << GRID_BITS:  # three numbers a value
+        blocks = F.broadcast(blocks)
+    keyed = df.join(blocks, order).withColumn("_block", F.pmod(F.xxhash64("_row"), F.col("blocks")))
     sizes = keyed.groupBy(order, "_block").agg(F.count("*").alias("n"), F.first("base").alias("base"))
     starts = sizes.select(order, "_block", (F.col("base") + F.coalesce(F.sum("n").over(
         Window.partitionBy(order).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_start"))
@@ -99,30 +126,41 @@ def ranked(df: DataFrame, order: str, block: int = BLOCK) -> DataFrame:
         "rank", F.col("_start") + F.col("_own")).drop("_block", "_own", "_start")
 
 
+#: Columns that ``shards`` makes; one of ``keep`` that is called so is left out.
+MADE = ("doc_id", "size", "text_crc32", "curve", "shard", "slot")
+
+
 def shards(docs: DataFrame, number: int = 16, dims: Sequence[str] = ("source", "lang", "n_chars"), bits: int = BITS,
            id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, size, text_crc32, curve, shard (0..number-1) and slot of every row, and the columns of ``keep``.
 
     Row counts of two shards differ by one at most. ``size`` is the text's
     bytes in UTF-8 plus 1 (null: 1, as an empty text). Repeated rows are rows
-    like others. The grid has 2 ** (len(dims) * bits) cells, so both are kept small.
+    like others, also with a null id. A null dimension is in the first cell,
+    and dimensions may be numbers, strings, dates, times or booleans. Other
+    columns of ``docs`` are left out, columns of any name may be kept, and an
+    empty table gives no rows. The grid has 2 ** (len(dims) * bits) cells, so
+    both are kept small.
     """
-    if len(dims) * bits > 16:
-        raise ValueError("len(dims) * bits is 16 at most")
-    names = list(dict.fromkeys([id_col, text_col, *dims, *keep]))
-    source = pick(docs, *names)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    placed = on_curve(source, dims, bits).select(
-        F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), "curve",
-        *[F.col(c) for c in keep if c not in ("doc_id", "size", "text_crc32", "curve")],
+    if len(dims) * bits > GRID_BITS:
+        raise ValueError(f"len(dims) * bits is {GRID_BITS} at most")
+    kept = [c for c in dict.fromkeys(keep) if c.lower() not in MADE]
+    names = [f"_dim{i}" for i in range(len(dims))], [f"_keep{i}" for i in range(len(kept))]
+    source = numbered(docs).select(*[F.col(f"c{place_of(docs, c)}").alias(own) for c, own in zip(
+        [id_col, text_col, *dims, *kept], ["_id", "_text", *names[0], *names[1]])])
+    text = F.coalesce(F.col("_text").cast("string"), F.lit(""))
+    placed = on_curve(source, names[0], bits).select(
+        F.col("_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), "curve", *names[1],
         F.monotonically_increasing_id().alias("_row"))
     placed = stored(placed, "curve")
     total = placed.count()
     run = F.floor(F.col("rank") * number / F.lit(max(total, 1)).cast("decimal(20,0)"))
     begins = F.ceil(F.col("shard") * F.lit(total).cast("decimal(20,0)") / number)
-    return ranked(placed, "curve").drop("_row").withColumn("shard", run.cast("int")).withColumn(
-        "slot", (F.col("rank") - begins).cast("long")).drop("rank")
+    out = ranked(placed, "curve").withColumn("shard", run.cast("int")).withColumn(
+        "slot", (F.col("rank") - begins).cast("long"))
+    return out.select("doc_id", "size", "text_crc32", "curve", *names[1], "shard", "slot").toDF(
+        "doc_id", "size", "text_crc32", "curve", *kept, "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

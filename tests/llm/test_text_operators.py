@@ -266,3 +266,73 @@ def test_empty_tables(spark, docs):
     assert hilbert_sharding.shards(none, 4).count() == 0
     path = vocabulary("byte_bpe_50k.tiktoken")
     assert token_counts.suffix_sums(token_counts.histogram(none, path, public_tokenizers.PATTERN)).count() == 0
+
+
+# Sharding by whole values of any type
+
+
+def plain_curve(cell, dims, bits):
+    """Skilling's transform of one cell number, in plain integers."""
+    x = [(cell >> bits * (dims - 1 - i)) & ((1 << bits) - 1) for i in range(dims)]
+    for bit in range(bits - 1, 0, -1):
+        low = (1 << bit) - 1
+        for i in range(dims):
+            if x[i] >> bit & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[i]) & low
+                x[0], x[i] = x[0] ^ swap, x[i] ^ swap
+    for i in range(1, dims):
+        x[i] ^= x[i - 1]
+    turn = 0
+    for bit in range(bits - 1, 0, -1):
+        if x[-1] >> bit & 1:
+            turn ^= (1 << bit) - 1
+    x = [v ^ turn for v in x]
+    return sum((x[i] >> bit & 1) << (bit * dims + dims - 1 - i) for bit in range(bits) for i in range(dims))
+
+
+@pytest.mark.parametrize("values", [3, 50_000])
+def test_curve_places_equal_a_plain_computation(spark, monkeypatch, values):
+    import datetime as dt
+
+    monkeypatch.setattr(hilbert_sharding, "VALUES", values)
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(120):
+        source = None if i % 17 == 0 else f"https://host{int(rng.integers(40)):03d}.example/a/long/common/beginning"
+        day = None if i % 19 == 0 else dt.date(2020, 1, 1) + dt.timedelta(days=int(rng.integers(30)))
+        rows.append((i if i % 7 else None, f"t{i}", source, day, float(rng.choice([0.5, 1.5, 2.5, -3.0])), "c", 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, day date, x double, cell string, rank int")
+    found = hilbert_sharding.shards(df, 4, ("source", "day", "x"), 2, keep=("source", "day", "x", "cell", "rank", "shard"))
+    assert found.columns == ["doc_id", "size", "text_crc32", "curve", "source", "day", "x", "cell", "rank", "shard", "slot"]
+
+    def places(k):
+        there = sorted(r[k] for r in rows if r[k] is not None)
+        return {v: 4 * there.index(v) // len(there) for v in there} | {None: 0}
+
+    by = [places(k) for k in (2, 3, 4)]
+    want = Counter()
+    for r in rows:
+        cell = 0
+        for k, p in zip((2, 3, 4), by):
+            cell = cell << 2 | p[r[k]]
+        want[r[2], r[3], r[4], plain_curve(cell, 3, 2)] += 1
+    got = found.collect()
+    assert Counter((r["source"], r["day"], r["x"], r["curve"]) for r in got) == want
+    sizes = Counter(r["shard"] for r in got)
+    assert sizes == {0: 30, 1: 30, 2: 30, 3: 30}
+    ordered = [r["curve"] for r in sorted(got, key=lambda r: (r["shard"], r["slot"]))]
+    assert ordered == sorted(ordered)
+
+
+def test_long_common_beginnings_take_many_cells(spark):
+    rows = [(i, "t", f"https://host{i % 200:03d}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert hilbert_sharding.on_curve(df, ["source"]).select("curve").distinct().count() == 16
+    stamped = df.withColumn("at", F.timestamp_seconds(F.col("doc_id") * 3600)).withColumn("ntz", F.col("at").cast("timestamp_ntz"))
+    flags = stamped.withColumn("flag", F.col("doc_id") % 2 == 0).withColumn("price", (F.col("doc_id") / 7).cast("decimal(12,3)"))
+    for name, cells in (("at", 16), ("ntz", 16), ("flag", 2), ("price", 16)):
+        assert hilbert_sharding.on_curve(flags, [name]).select("curve").distinct().count() == cells
+    with pytest.raises(ValueError):
+        hilbert_sharding.shards(df, 4, ("source", "doc_id"), 9)
