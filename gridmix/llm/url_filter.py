@@ -5,7 +5,9 @@ spread trust along links, hosts that a host-wide rule blocks spread distrust
 against links (who links to a blocked host is suspect), both by personalised
 PageRank over host edges, and a host whose distrust outweighs its trust and a
 floor is blocked. A host that neither reaches is allowed. Hosts are those of
-pages and those that pages link to, with or without pages of their own.
+pages and those that pages link to, with or without pages of their own. Each
+seed spreads a mass of 1, so a host's masses, and its verdict, depend on the
+links that lead to it alone and not on the rest of the graph or its size.
 """
 
 from __future__ import annotations
@@ -18,18 +20,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import pick, stored
+from gridmix.llm.common import pick, stored, stored_at
+from gridmix.sources.sinks import remove
 
 #: (verdict, rule): a host and the path that a url's path has to start with.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING = 0.85
-#: Distrust, in shares of an even spread over all hosts, from which a host can be blocked.
-FLOOR = 0.1
+#: Distrust, in shares of the mass that one seed spreads, from which a host can be blocked.
+FLOOR = 0.01
 #: Mass that further rounds could still move, in shares of the floor, below which spreading ends.
 REST = 0.01
+#: Every so many rounds it is summed up what they moved.
+LOOK = 4
 
 #: Target of a link with a host; without a scheme it has the page's own.
-LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
+LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
 
 
 def host_of(url: Column) -> Column:
@@ -68,34 +73,46 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None,
            rest: float = 1e-9) -> DataFrame:
-    """(host, mass): personalised PageRank along (src, dst, links) from seeds (host, share; shares add up to 1).
-
-    Mass of hosts without links is not passed on. Each round is one join and
-    one sum with partial sums, written to the shared folder. Without a number
-    of rounds it ends when all that later rounds can move is at most ``rest``:
-    a round moves at most ``damping`` times what the one before it moved.
+    """(host, mass): personalised PageRank along (src, dst, links) from seeds (host, share).
+
+    Mass of hosts without links is not passed on, and without any links each
+    seed keeps what the formula gives it. Each round is one join and one sum
+    with partial sums, written to the shared folder; the round before the last
+    one is removed from there. Without a number of rounds it ends when all that
+    later rounds can move is at most ``rest``: a round moves at most ``damping``
+    times what the one before it moved.
     """
+    spark = edges.sparkSession
     out = edges.groupBy("src").agg(F.sum("links").alias("all_links"))
     steps = stored(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("all_links")).alias("part")), "steps")
     now = seeds.select("host", F.col("share").alias("mass"))
     later = damping / (1 - damping)
-    most = max(math.ceil(math.log(rest / (2 * later)) / math.log(damping)), 1) if rounds is None else rounds
-    for _ in range(most):
+    if rounds is None:
+        whole = seeds.agg(F.sum("share")).first()[0] or 0.0
+        most = max(math.ceil(math.log(rest / (2 * later * max(whole, rest))) / math.log(damping)), 1)
+    else:
+        most = rounds
+    paths: list[str] = []
+    for turn in range(1, most + 1):
         none = F.lit(0.0)
         moved = steps.join(now, steps["src"] == now["host"]).select(
             F.col("dst").alias("host"), (F.col("mass") * F.col("part") * damping).alias("mass"), none.alias("was"))
         given = seeds.select("host", (F.col("share") * (1 - damping)).alias("mass"), none.alias("was"))
         both = moved.union(given).union(now.select("host", none.alias("mass"), F.col("mass").alias("was")))
-        sums = stored(both.groupBy("host").agg(F.sum("mass").alias("mass"), F.sum("was").alias("was")), "mass")
+        sums, path = stored_at(both.groupBy("host").agg(F.sum("mass").alias("mass"), F.sum("was").alias("was")), "mass")
         now = sums.select("host", "mass")
-        if rounds is None and (sums.agg(F.sum(F.abs(F.col("mass") - F.col("was")))).first()[0] or 0.0) * later <= rest:
+        paths.append(path)
+        if len(paths) > 2:
+            remove(spark, paths.pop(0))
+        if rounds is None and (turn <= 2 or turn % LOOK == 0) and (
+                sums.agg(F.sum(F.abs(F.col("mass") - F.col("was")))).first()[0] or 0.0) * later <= rest:
             break
     return now
 
 
-def shares(hosts: DataFrame) -> DataFrame:
-    total = hosts.count()
-    return hosts.select("host", F.lit(1.0 / max(total, 1)).alias("share"))
+def units(hosts: DataFrame) -> DataFrame:
+    """Seeds of a mass of 1 each."""
+    return hosts.select("host", F.lit(1.0).alias("share"))
 
 
 def verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, floor: float = FLOOR, id_col: str = "page_id",
@@ -103,7 +120,9 @@ def verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, floor:
     """(page_id, host, path, rule, verdict, trust, distrust) of every row.
 
     A null url, or one without ://, has an empty host and path, fits no rule
-    and is allowed. Equal rows give equal rows.
+    and is allowed. A null or empty html has no links; the whole of a long one is
+    read. Equal rows give equal rows, though each of them counts for the links of
+    its host. Extra columns are left out, an empty table gives no rows.
     """
     url = F.col("url")
     source = pick(pages, id_col, url_col, html_col).select(
@@ -118,17 +137,13 @@ def verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, floor:
     wide = [F.lit(False)] + [fits(r, F.col("host"), F.lit("/")) for v, r in rules if v == "block" and r.endswith("/") and r.count("/") == 1]
     blocked = hosts.where(reduce(lambda x, y: x | y, wide))
     judged_pages = marked.select("page_id", "host", "path", "rule", "ruled")
-    if edges.isEmpty():  # nothing spreads: a host keeps what its seeds gave it, and only rules block
-        return judged_pages.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"),
-                                   F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"))
-    number = hosts.count()
-    rest = REST * (floor or FLOOR) / max(number, 1)
-    trust = spread(edges, shares(hosts.where("trusted").select("host")), rest=rest)
+    rest = REST * (floor or FLOOR)
+    trust = spread(edges, units(hosts.where("trusted").select("host")), rest=rest)
     against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
-    distrust = spread(against, shares(blocked.select("host")), rest=rest)
+    distrust = spread(against, units(blocked.select("host")), rest=rest)
     known = hosts.select("host").join(trust.withColumnRenamed("mass", "trust"), "host", "left").join(
         distrust.withColumnRenamed("mass", "distrust"), "host", "left").fillna(0.0)
-    bad = (F.col("distrust") * number >= floor) & (F.col("distrust") > F.col("trust"))
+    bad = (F.col("distrust") >= floor) & (F.col("distrust") > F.col("trust"))
     return judged_pages.join(known, "host", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(bad, F.lit("block")), F.lit("allow")).alias("verdict"),

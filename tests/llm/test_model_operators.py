@@ -471,3 +471,33 @@ def test_windows_keep_columns_of_any_name(spark):
     assert max(used.values()) <= 16 and sum(used.values()) == sum(r[1] for r in rows)
     with pytest.raises(ValueError):
         packing.assign_windows(spark.createDataFrame([(None,)], "length long"), 16)
+
+
+def test_a_verdict_does_not_depend_on_unrelated_links(spark):
+    def judged(rows):
+        df = spark.createDataFrame([(i, u, x) for i, (u, x) in enumerate(rows)], "page_id long, url string, html string")
+        return {r["host"]: (r["verdict"], round(r["trust"], 6), round(r["distrust"], 6)) for r in url_filter.verdicts(df).collect()}
+
+    own = [("http://spam.net", None), ("http://fine.com/", ""), ("http://example.net/en/x", "")]
+    alone = judged(own)
+    assert alone["spam.net"] == ("block", 0.0, 0.15) and alone["fine.com"] == ("allow", 0.0, 0.0)
+    assert alone["example.net"][0] == "allow" and alone["example.net"][1] == 0.15
+    pair = [("http://u.com/", '<a href="http://v.com/">x</a>')]
+    many = [(f"http://u{i}.com/", f'<a data-href="//spam.net" href="http://v{i}.com/">x</a>') for i in range(30)]
+    more = [(f"http://b{i}.net", None) for i in range(10)]
+    for other in (pair, many, more, [*pair, *many, *more]):
+        assert judged([*own, *other]).items() >= alone.items()
+    linked = judged([*own, ("http://evil.com/", '<a href="http://spam.net">x</a>'), *many])
+    assert linked["evil.com"] == ("block", 0.0, round(0.15 * 0.85, 6)) and linked["u3.com"] == ("allow", 0.0, 0.0)
+    only = judged([("http://h.com/", '<a data-href="//spam.net">x</a>'), ("http://spam.net", None)])
+    assert only["h.com"][0] == "allow"
+
+
+def test_rounds_leave_two_tables(spark):
+    from gridmix.llm.common import shared_dir
+    from gridmix.sources.sinks import folders
+
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(12)], "src string, dst string, links long")
+    before = sum("llm-mass" in f for f in folders(spark, shared_dir(spark)))
+    url_filter.spread(edges, spark.createDataFrame([("h0", 1.0)], "host string, share double"), rest=1e-6).count()
+    assert sum("llm-mass" in f for f in folders(spark, shared_dir(spark))) - before <= 2
