@@ -20,9 +20,13 @@ from pyspark.sql import functions as F
 
 from gridmix.llm.common import pick, stored
 
-QUERY_BLOCK = 1024
+#: Each candidate is sent to every block of queries, so few and large ones make few copies of the table.
+QUERY_BLOCK = 16_384
 CANDIDATE_BLOCK = 4096
+#: Rows and columns of one tile of products, a bound of memory.
 TILE = 1024
+#: Tasks that the cells are dealt to at most.
+CELL_TASKS = 100_000
 #: Block results that one merge takes together.
 FAN_IN = 32
 #: Queries that one merge takes together, as many or about that; a query has up to FAN_IN * k rows.
@@ -70,37 +74,46 @@ def first_of_equal(ids: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
 
 def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[list]:
     """For each query a heap of (score, -vec_id), its k best in this block; a vec_id of several vectors has its best one."""
-    best: list[list] = [[] for _ in query_ids]
     keep = first_of_equal(ids, rows, k + 1)
     ids, rows = ids[keep], rows[keep]  # in order of ids
-    repeated = bool((ids[1:] == ids[:-1]).any())
+    out: list[list] = []
     with np.errstate(all="ignore"):  # products beyond the largest double are infinite, and stay so
-        a, b = Quantised(queries), Quantised(rows)
-        floor = np.full(len(queries), -np.inf)
-        for at in range(0, len(rows), TILE):
-            some = slice(at, at + TILE)
-            low, high = product_bounds(a, b, some)
-            own = query_ids[:, None] == ids[some]
-            low[own] = -np.inf
-            low, high = np.nan_to_num(low, nan=-np.inf), np.nan_to_num(high, nan=np.inf)
-            each = np.maximum.reduceat(low, np.unique(ids[some], return_index=True)[1], axis=1) if repeated else low
-            if each.shape[1] >= k:
-                floor = np.maximum(floor, np.partition(each, -k, axis=1)[:, -k])
-            q, c = np.nonzero((high >= floor[:, None]) & ~own)
-            for first in range(0, len(q), 1 << 14):
-                qs, cs = q[first:first + (1 << 14)], c[first:first + (1 << 14)] + at
-                scores = (queries[qs].astype(np.float64) * rows[cs].astype(np.float64)).sum(axis=1)
-                for i, score, vec in zip(qs.tolist(), scores.tolist(), ids[cs].tolist()):
-                    heap, entry = best[i], (score, -vec)
-                    if repeated and (held := [n for n, e in enumerate(heap) if e[1] == -vec]):
-                        if entry > heap[held[0]]:
-                            heap[held[0]] = entry
-                            heapq.heapify(heap)
-                    elif len(heap) < k:
-                        heapq.heappush(heap, entry)
-                    elif entry > heap[0]:
-                        heapq.heapreplace(heap, entry)
-            floor = np.maximum(floor, [h[0][0] if len(h) == k else -np.inf for h in best])
+        b = Quantised(rows)
+        for at in range(0, len(queries), TILE):
+            out += search_tiles(query_ids[at:at + TILE], queries[at:at + TILE], ids, rows, b, k)
+    return out
+
+
+def search_tiles(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, b: Quantised, k: int) -> list[list]:
+    """The heaps of the queries of one tile; ``rows`` are in order of ``ids`` and ``b`` are their codes."""
+    best: list[list] = [[] for _ in query_ids]
+    repeated = bool((ids[1:] == ids[:-1]).any())
+    a = Quantised(queries)
+    floor = np.full(len(queries), -np.inf)
+    for at in range(0, len(rows), TILE):
+        some = slice(at, at + TILE)
+        low, high = product_bounds(a, b, some)
+        own = query_ids[:, None] == ids[some]
+        low[own] = -np.inf
+        low, high = np.nan_to_num(low, nan=-np.inf), np.nan_to_num(high, nan=np.inf)
+        each = np.maximum.reduceat(low, np.unique(ids[some], return_index=True)[1], axis=1) if repeated else low
+        if each.shape[1] >= k:
+            floor = np.maximum(floor, np.partition(each, -k, axis=1)[:, -k])
+        q, c = np.nonzero((high >= floor[:, None]) & ~own)
+        for first in range(0, len(q), 1 << 14):
+            qs, cs = q[first:first + (1 << 14)], c[first:first + (1 << 14)] + at
+            scores = (queries[qs].astype(np.float64) * rows[cs].astype(np.float64)).sum(axis=1)
+            for i, score, vec in zip(qs.tolist(), scores.tolist(), ids[cs].tolist()):
+                heap, entry = best[i], (score, -vec)
+                if repeated and (held := [n for n, e in enumerate(heap) if e[1] == -vec]):
+                    if entry > heap[held[0]]:
+                        heap[held[0]] = entry
+                        heapq.heapify(heap)
+                elif len(heap) < k:
+                    heapq.heappush(heap, entry)
+                elif entry > heap[0]:
+                    heapq.heapreplace(heap, entry)
+        floor = np.maximum(floor, [h[0][0] if len(h) == k else -np.inf for h in best])
     return best
 
 
@@ -156,9 +169,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         out = _found(ids[asks].tolist(), heaps)
         return out.append_column("block", pa.array([group.as_py()] * len(out), pa.int32()))
 
-    found = cells.groupBy("dim", "query_block", "block").applyInArrow(one, FOUND + ", block int")
-    most, asked = sizes.agg(F.max(F.ceil(F.col("n") / CANDIDATE_BLOCK)), F.sum("m")).first()
+    most, asked, tasks = sizes.agg(F.max(F.ceil(F.col("n") / CANDIDATE_BLOCK)), F.sum("m"), F.sum(
+        F.ceil(F.col("n") / CANDIDATE_BLOCK) * F.ceil(F.col("m") / QUERY_BLOCK))).first()
     most, asked = most or 1, asked or 0
+    # A task for each cell or so: cells are small in bytes and long in work, so their tasks must not be merged by size.
+    cells = cells.repartition(min(max(int(tasks or 1), 1), CELL_TASKS), "dim", "query_block", "block")
+    found = cells.groupBy("dim", "query_block", "block").applyInArrow(one, FOUND + ", block int")
     parts = 1
     while parts < most:
         parts *= FAN_IN

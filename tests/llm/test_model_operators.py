@@ -1,6 +1,7 @@
 """Search, toxicity, pages and the pipeline."""
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -501,3 +502,21 @@ def test_rounds_leave_two_tables(spark):
     before = sum("llm-mass" in f for f in folders(spark, shared_dir(spark)))
     url_filter.spread(edges, spark.createDataFrame([("h0", 1.0)], "host string, share double"), rest=1e-6).count()
     assert sum("llm-mass" in f for f in folders(spark, shared_dir(spark))) - before <= 2
+
+
+def test_query_tiles_give_what_one_tile_gives(monkeypatch):
+    rng = np.random.default_rng(12)
+    asked, queries = np.arange(70) * 3, rng.normal(size=(70, 6))
+    ids, rows = np.arange(200), rng.normal(size=(200, 6))
+    whole = [sorted(h) for h in block_search.search_block(asked, queries, ids, rows, 7)]
+    for tile in (1, 16, 64):
+        monkeypatch.setattr(block_search, "TILE", tile)
+        assert [sorted(h) for h in block_search.search_block(asked, queries, ids, rows, 7)] == whole
+
+
+def test_cells_of_a_search_are_tasks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(block_search, "CANDIDATE_BLOCK", 10)
+    rng = np.random.default_rng(13)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(200)], "vec_id long, embedding array<double>")
+    plan = block_search.search(df, F.col("vec_id") % 20 == 0, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"RepartitionByExpression \[dim#\d+, query_block#\d+, block#\d+\], 20\b", plan)
