@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from gridmix.llm.quality_rules import RULES, STOP_WORDS
+from gridmix.llm.quality_rules import LISTED, RULES, STOP_WORDS
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+_LANGUAGES = ", ".join(f"'{x}'" for x in LISTED)
 
 
 def _rule(rule) -> str:
     tests = [f"{rule.count} >= {rule.low} * {rule.base}"] * (rule.low > 0)
     tests += [f"{rule.count} <= {rule.high} * {rule.base}"] * (rule.high < float("inf"))
-    return f"({rule.base} = 0 OR ({' AND '.join(tests) or 'true'}))"
+    return f"({rule.base} < {max(rule.least, 1)} OR ({' AND '.join(tests) or 'true'}))"
 
 
 # A stop word counts where it begins a word and is followed by its end or by a mark.
 _QUALITY = rf"""
 WITH words AS (
-  SELECT doc_id, coalesce(text, '') AS body,
+  SELECT doc_id, coalesce(text, '') AS body, coalesce(split_part(lower(lang), '-', 1) IN ({_LANGUAGES}), false) AS listed,
          regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS k
   FROM documents
@@ -35,7 +36,8 @@ WITH words AS (
          CAST(length(body) - length(translate(body, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
          CAST(len(k) - len(list_distinct(k)) AS BIGINT) AS n_dup_lines,
          coalesce(n, 0) AS n_repeat_words, len(k) AS n_lines,
-         CAST(len(list_filter(w, lambda x: regexp_extract(lower(x), '^([^.,;:?]*)') IN ({_STOPS}))) AS BIGINT) AS n_stop_words
+         CAST(len(list_filter(w, lambda x: regexp_extract(lower(x), '^([^.,;:?]*)') IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
+         CAST(CASE WHEN listed THEN len(w) ELSE 0 END AS BIGINT) AS listed_words
   FROM hashed LEFT JOIN repeated USING (doc_id)
 ), based AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted

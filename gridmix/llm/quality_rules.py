@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import numbered, pick, place_of
+from gridmix.llm.common import numbered, place_of
 
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -31,23 +31,29 @@ STOP_WORDS = (
 )
 
 
+#: FIXED VALUES: the languages that these words are of.
+LISTED = ("en", "de", "fr", "es")
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``low <= count / base <= high``; a rule with no base (0) holds."""
+    """``low <= count / base <= high``; a rule with no base (0), or one under ``least``, holds."""
 
     name: str
     count: str
     base: str
     low: float = 0.0
     high: float = float("inf")
+    least: int = 0
 
 
-#: The threshold table.
+#: The threshold table. The stop-word rule is for texts whose language has a list, and so long that its
+#: share means several words.
 RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 15.0),
     Rule("symbols_per_word", "n_symbols", "n_words", high=0.3),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.4),
-    Rule("stop_words", "n_stop_words", "n_words", low=0.03),
+    Rule("stop_words", "n_stop_words", "listed_words", low=0.03, least=100),
     Rule("words_per_line", "n_words", "n_lines", low=3.0),
 )
 
@@ -99,8 +105,14 @@ def any_of(words: Sequence[str]) -> str:
     return branch(sorted({w.lower() for w in words}))
 
 
-def counts(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """All counts of a text as one struct, the words split once."""
+def listed(lang: Column, languages: Sequence[str] = LISTED) -> Column:
+    """Whether stop words of a language are known; ``en-GB`` is ``en``, and null is no language."""
+    return F.coalesce(F.substring_index(F.lower(lang), "-", 1).isin(list(languages)), F.lit(False))
+
+
+def counts(text: Column, known: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """All counts of a text as one struct, the words split once. ``listed_words`` are its words if its
+    stop words are ``known``, else 0."""
     stops = rf"(?<![^\x20\x09-\x0D]){any_of(stop_words)}(?![^.,;:?\x20\x09-\x0D])"
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     return let(F.array_remove(F.split(text, GAP), ""), lambda w: let(lines, lambda k: F.struct(
@@ -110,7 +122,8 @@ def counts(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
         (F.size(k) - F.size(F.array_distinct(k))).cast("long").alias("n_dup_lines"),
         repeat_words(w).alias("n_repeat_words"),
         F.size(k).cast("long").alias("n_lines"),
-        F.regexp_count(text, F.lit(stops)).cast("long").alias("n_stop_words"))))
+        F.regexp_count(text, F.lit(stops)).cast("long").alias("n_stop_words"),
+        F.when(known, F.size(w)).otherwise(0).cast("long").alias("listed_words"))))
 
 
 def holds(rule: Rule, values: Column) -> Column:
@@ -120,19 +133,23 @@ def holds(rule: Rule, values: Column) -> Column:
         test = test & (count >= rule.low * base)
     if rule.high < float("inf"):
         test = test & (count <= rule.high * base)
-    return (base == 0) | test
+    return (base < max(rule.least, 1)) | test
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int = 10, max_repeat_percent: int = 20,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row of ``docs``: its counts, ``base_failed``, ``kept`` and the names of failed rules.
 
     A null or empty text has no words and fails the base rule. Equal rows give
-    equal rows.
+    equal rows; extra columns are left out, and an empty table gives no rows. The
+    stop-word rule holds for every text of a language without a list (LISTED),
+    of a null language, and of a table without a column ``lang_col``.
     """
-    source = pick(docs, id_col, text_col).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    measured = source.select("doc_id", counts(F.col("text")).alias("c"))
+    source = numbered(docs).select(
+        F.col(f"c{place_of(docs, id_col)}").cast("long").alias("doc_id"),
+        F.coalesce(F.col(f"c{place_of(docs, text_col)}").cast("string"), F.lit("")).alias("text"),
+        language(docs, lang_col).alias("lang"))
+    measured = source.select("doc_id", counts(F.col("text"), listed(F.col("lang"))).alias("c"))
     c = F.col("c")
     failed, base_failed = compiled(rules, c), base(c, min_words, max_repeat_percent)
     return measured.select(
@@ -140,7 +157,14 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int = 10, m
         c["n_symbols"].alias("n_symbols"), c["n_dup_lines"].alias("n_dup_lines"),
         c["n_repeat_words"].alias("n_repeat_words"), base_failed.alias("base_failed"),
         (~base_failed & (F.size(failed) == 0)).alias("kept"),
-        c["n_lines"].alias("n_lines"), c["n_stop_words"].alias("n_stop_words"), failed.alias("failed_rules"))
+        c["n_lines"].alias("n_lines"), c["n_stop_words"].alias("n_stop_words"), c["listed_words"].alias("listed_words"),
+        failed.alias("failed_rules"))
+
+
+def language(docs: DataFrame, lang_col: str) -> Column:
+    """The language column of ``numbered`` docs, null where the table has none."""
+    there = any(c.lower() == lang_col.lower() for c in docs.columns)
+    return (F.col(f"c{place_of(docs, lang_col)}") if there else F.lit(None)).cast("string")
 
 
 def compiled(rules: Sequence[Rule], values: Column) -> Column:
@@ -154,7 +178,7 @@ def base(values: Column, min_words: int, max_repeat_percent: int) -> Column:
 
 
 def without_poor(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int = 10, max_repeat_percent: int = 20,
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` as it is, all its columns whatever they are called, without the rows that fail the
     base rule or a rule. A null or empty text fails, repeated rows stay or go together, and an empty
     table stays empty.
@@ -163,5 +187,5 @@ def without_poor(docs: DataFrame, rules: Sequence[Rule] = RULES, min_words: int
     columns would be pushed below them, and each use would count anew.
     """
     text = F.coalesce(F.col(f"c{place_of(docs, text_col)}").cast("string"), F.lit(""))
-    return numbered(docs).where(let(counts(text), lambda c: reduce(
+    return numbered(docs).where(let(counts(text, listed(language(docs, lang_col))), lambda c: reduce(
         lambda x, y: x & y, [holds(r, c) for r in rules], ~base(c, min_words, max_repeat_percent)))).toDF(*docs.columns)

@@ -128,6 +128,18 @@ def test_quality_counts(docs, plain):
     assert Counter(r["doc_id"] for r in quality_rules.without_poor(unique).collect()) == Counter(r["doc_id"] for r in got if r["kept"])
 
 
+def test_stop_words_count_where_the_language_has_a_list(spark):
+    plain = " ".join(f"wort{i}" for i in range(120))  # no stop word
+    rows = [(1, plain, "en"), (2, plain, "pl"), (3, plain, None), (4, plain, "DE-at"), (5, " ".join(plain.split()[:60]), "en"),
+            (6, plain + " the and of to", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["kept"], list(r["failed_rules"])) for r in quality_rules.judge(df).collect()}
+    assert got == {1: (False, ["stop_words"]), 2: (True, []), 3: (True, []), 4: (False, ["stop_words"]), 5: (True, []), 6: (True, [])}
+    assert {r["doc_id"] for r in quality_rules.without_poor(df).collect()} == {2, 3, 5, 6}
+    bare = df.drop("lang")
+    assert quality_rules.without_poor(bare).count() == quality_rules.judge(bare).where("kept").count() == 6
+
+
 def test_simhash_against_all_pairs(spark, docs, plain):
     def brute(text):
         w = (text or "").encode().lower().split()
