@@ -17,14 +17,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import numbered, pick, place_of, stored, text_runs
 
-#: Bounds of the fit: labelled rows in the sample (those of least hash), and features.
+#: Bounds of the sample of labelled rows that is learnt from (those of least hash): their number, the bytes
+#: of all their texts, and of one text. They bound what the fit holds; every feature that is sure is used.
 SAMPLE_ROWS = 20_000
-MAX_FEATURES = 4_000
+SAMPLE_BYTES = 512 << 20
+LONGEST = 1 << 20
 THRESHOLD = 0.3
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -78,7 +80,8 @@ class Model:
         total, found = plain * sentences(low), []
         hits = self.hits(set(low.split()))
         for m in SENTENCE.finditer(low) if hits else ():
-            if not hits.isdisjoint(chunks := m[0].split()) or self.hits(set(chunks)):
+            # A sentence can begin or end inside a run of the text, so its own runs are asked for.
+            if self.hits(set(chunks := m[0].split())):
                 z = self.logit(chunks)
                 found.append((1 / (1 + math.exp(-max(z, -700.0))), m.start(), m.end()))
                 total += softplus(z) - plain
@@ -115,7 +118,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col:
     """(text, toxic) of at most ``rows`` labelled rows that aren't held out.
 
     Null ids and labels are left out, an id with several labels counts as toxic
-    if one says so, and a text that occurs often counts once for each label.
+    if one says so, and a text that occurs often counts once for each label. Rows
+    whose text has more than ``LONGEST`` bytes are no part of the sample, and it
+    ends before its texts have more than ``SAMPLE_BYTES``.
     """
     marks = pick(labels, id_col, label_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast(
         "double").alias("toxic")).where("doc_id is not null and toxic is not null")
@@ -123,26 +128,29 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col:
                                                 F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     marks = marks.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0.5, 1).otherwise(0)).alias("toxic"))
     # The ids of docs alone first: the labels may name rows that are gone.
-    there = texts.select("doc_id").distinct().join(marks, "doc_id", "left_semi")
-    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    chosen = F.broadcast(stored(marks.join(chosen, "doc_id"), "toxic-sample"))  # at most ``rows`` ids
+    lengths = texts.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("bytes"), F.count("*").alias("times"))
+    there = lengths.where(F.col("bytes") <= LONGEST).join(marks, "doc_id", "left_semi")
+    first = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over ``rows`` rows at most
+    first = first.withColumn("upto", F.sum(F.col("bytes") * F.col("times")).over(order)).where(F.col("upto") <= SAMPLE_BYTES)
+    chosen = F.broadcast(stored(marks.join(first.select("doc_id"), "doc_id"), "toxic-sample"))  # at most ``rows`` ids
     return texts.join(chosen, "doc_id").select("text", "toxic").dropDuplicates()
 
 
-def choose(counted: DataFrame, toxic: int, clean: int, most: int = MAX_FEATURES) -> list[str]:
-    """Features that toxic documents hold clearly more often, the surest first."""
+def choose(counted: DataFrame, toxic: int, clean: int) -> list[str]:
+    """All features that toxic documents hold clearly more often, the surest first."""
     share = (F.col("t") + F.col("c")) / float(toxic + clean)
     gap = F.col("t") / float(max(toxic, 1)) - F.col("c") / float(max(clean, 1))
     spread = F.sqrt(share * (1 - share) * (1.0 / max(toxic, 1) + 1.0 / max(clean, 1)) + F.lit(1e-12))
     z = gap / spread
     # A feature must occur in five documents, and three times as often in toxic ones.
     sure = counted.where((F.col("t") >= 5) & (z >= 5) & (F.col("t") * max(clean, 1) >= 3.0 * F.col("c") * max(toxic, 1)))
-    return [r["feature"] for r in sure.orderBy(z.desc(), "feature").limit(most).collect()]
+    return [r["feature"] for r in sure.orderBy(z.desc(), "feature").collect()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int = MAX_FEATURES, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on a bounded sample of labelled rows (``rows``); without toxic or without clean rows, on nothing."""
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic") -> Model:
+    """Fit on a bounded sample of labelled rows (:func:`sample`); without toxic or without clean rows, on nothing."""
     held = stored(sample(docs, labels, rows, id_col, text_col, label_col), "toxic-texts")
     sizes = {r["toxic"]: r["n"] for r in held.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -168,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int =
 
     counted = held.mapInArrow(count, "feature string, t long, c long").groupBy("feature").agg(
         F.sum("t").alias("t"), F.sum("c").alias("c"))
-    chosen = choose(counted, toxic, clean, most)
+    chosen = choose(counted, toxic, clean)
     places = held.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(chosen)})
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,37 +191,56 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int =
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
                                               pa.array(out[2], pa.list_(pa.list_(pa.int32())))], ["toxic", "plain", "bags"])
 
-    # At most ``rows`` documents of at most ``most`` kinds of features.
+    # The sentences of the sample, which is bounded in bytes.
     data = held.mapInArrow(reduce, "toxic int, plain long, bags array<array<int>>").collect()
     data = sorted(data, key=lambda r: (r["toxic"], r["plain"], r["bags"]))
     weights, bias = descend(data, len(chosen))
     return Model({f: float(w) for f, w in zip(chosen, weights)}, bias)
 
 
-def descend(data: list, size: int, rounds: int = 400, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias that maximise the likelihood of the labels under the noisy-or.
+class Bags:
+    """The sample as arrays: the negative log-likelihood of its labels under the noisy-or, and its gradient.
 
     With A = sum of softplus(z) over a document's sentences, the chance that it
     is clean is exp(-A); the gradient of A by z is the sentence's score.
     """
-    y = np.array([r["toxic"] for r in data], dtype=float)
-    plain = np.array([r["plain"] for r in data], dtype=float)
-    sentences = [(d, s) for d, r in enumerate(data) for s in r["bags"]]
-    doc = np.array([d for d, _ in sentences], dtype=np.int64)
-    row = np.repeat(np.arange(len(sentences)), [len(s) for _, s in sentences])
-    col = np.array([f for _, s in sentences for f in s], dtype=np.int64)
+
+    def __init__(self, data: list, size: int):
+        self.size = size
+        self.y = np.array([r["toxic"] for r in data], dtype=float)
+        self.plain = np.array([r["plain"] for r in data], dtype=float)
+        sentences = [(d, s) for d, r in enumerate(data) for s in r["bags"]]
+        self.doc = np.array([d for d, _ in sentences], dtype=np.int64)
+        self.row = np.repeat(np.arange(len(sentences)), [len(s) for _, s in sentences])
+        self.col = np.array([f for _, s in sentences for f in s], dtype=np.int64)
+
+    def reached(self, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """z of each sentence with features, and A of each document; the bias is last in ``theta``."""
+        w, b = theta[:-1], theta[-1]
+        z = b + np.bincount(self.row, w[self.col], minlength=len(self.doc))
+        return z, np.bincount(self.doc, np.logaddexp(0, z), minlength=len(self.y)) + self.plain * np.logaddexp(0, b)
+
+    def loss(self, theta: np.ndarray) -> float:
+        _, a = self.reached(theta)
+        return float(np.mean((1 - self.y) * a - self.y * np.log(np.maximum(-np.expm1(-a), 1e-12))))
+
+    def gradient(self, theta: np.ndarray) -> np.ndarray:
+        z, a = self.reached(theta)
+        outer = (1 - self.y) - self.y * np.exp(-a) / np.maximum(-np.expm1(-a), 1e-12)
+        by_z = outer[self.doc] / (1 + np.exp(-z))
+        return np.append(np.bincount(self.col, by_z[self.row], minlength=self.size),
+                         by_z.sum() + (outer * self.plain).sum() / (1 + math.exp(-theta[-1]))) / len(self.y)
+
+
+def descend(data: list, size: int, rounds: int = 400, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias that maximise the likelihood of the labels under the noisy-or (Adam)."""
+    bags_ = Bags(data, size)
     theta = np.zeros(size + 1)  # the bias is last; weights start at 3, it at -8
     theta[:-1], theta[-1] = 3.0, -8.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        w, b = theta[:-1], theta[-1]
-        z = b + np.bincount(row, w[col], minlength=len(doc))
-        a = np.bincount(doc, np.logaddexp(0, z), minlength=len(y)) + plain * np.logaddexp(0, b)
-        outer = (1 - y) - y * np.exp(-a) / np.maximum(-np.expm1(-a), 1e-12)
-        by_z = outer[doc] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(col, by_z[row], minlength=size),
-                         by_z.sum() + (outer * plain).sum() / (1 + math.exp(-b))) / len(y)
-        grad[:-1] += decay * w
+        grad = bags_.gradient(theta)
+        grad[:-1] += decay * theta[:-1]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         theta -= rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-9)
@@ -222,8 +249,9 @@ def descend(data: list, size: int, rounds: int = 400, rate: float = 0.1, decay:
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, n_offending, worst_start, worst_end): the worst sentence by its place in the text, null if
-    none holds a feature; n_offending counts sentences that alone reach the threshold. A null text is empty."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES weights
+    none holds a feature; n_offending counts sentences that alone reach the threshold. A null text is empty, rows that repeat
+    or have no id are scored like any other, extra columns are left out, and an empty table gives no rows."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # a weight for each sure feature of the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value

@@ -520,3 +520,49 @@ def test_cells_of_a_search_are_tasks_of_their_own(spark, monkeypatch):
     df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(200)], "vec_id long, embedding array<double>")
     plan = block_search.search(df, F.col("vec_id") % 20 == 0, 3)._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"RepartitionByExpression \[dim#\d+, query_block#\d+, block#\d+\], 20\b", plan)
+
+
+def test_noisy_or_equals_a_plain_product():
+    rng = np.random.default_rng(21)
+    model = toxicity.Model({w: float(rng.normal()) for w in [*WORDS[:6], "alph~", "gamm~"]}, -1.5)
+    for _ in range(200):
+        text = "".join(rng.choice([*(f" {w}" for w in WORDS), " Alphabet", "gammas", ". ", "!\n", "?", " ", "?alpha"]) for _ in range(30))
+        clean = 1.0
+        spots = 0
+        for sentence in re.split(r"[.!?\n]", text.lower()):
+            held = {w for chunk in sentence.split() for w in toxicity.features(chunk)}
+            z = model.bias + sum(model.weights.get(f, 0.0) for f in held)
+            clean *= 1 - 1 / (1 + math.exp(-z))
+            spots += any(f in model.weights for f in held)
+        score, found = model.score(text)
+        assert score == pytest.approx(1 - clean, rel=1e-9, abs=1e-12) and len(found) == spots
+
+
+def test_gradient_equals_differences():
+    rng = np.random.default_rng(22)
+    data = [{"toxic": int(rng.integers(2)), "plain": int(rng.integers(0, 5)),
+             "bags": [sorted(set(rng.integers(0, 6, int(rng.integers(1, 4))).tolist())) for _ in range(int(rng.integers(0, 4)))]} for _ in range(40)]
+    data.append({"toxic": 1, "plain": 1, "bags": []})
+    bags = toxicity.Bags(data, 6)
+    theta = rng.normal(size=7)
+    step = 1e-6
+    for i in range(7):
+        up, down = theta.copy(), theta.copy()
+        up[i] += step
+        down[i] -= step
+        assert bags.gradient(theta)[i] == pytest.approx((bags.loss(up) - bags.loss(down)) / (2 * step), abs=1e-6)
+    weights, bias = toxicity.descend(data, 6)
+    assert bags.loss(np.append(weights, bias)) < bags.loss(np.append(np.full(6, 3.0), -8.0))
+
+
+def test_toxicity_sample_is_bounded_and_tables_may_be_empty(spark, monkeypatch):
+    rows = toxic_table(120)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(500, "long " * 1000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(500, 1)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "LONGEST", 4000)
+    assert toxicity.sample(docs, labels).where("length(text) > 4000").isEmpty()
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 3000)
+    got = toxicity.sample(docs, labels)
+    assert 0 < got.agg(F.sum(F.octet_length("text"))).first()[0] <= 3000
+    model = toxicity.fit(docs.limit(0), labels)
+    assert toxicity.scores(docs.limit(0), model).count() == 0 and toxicity.without_toxic(docs.limit(0), model).count() == 0
