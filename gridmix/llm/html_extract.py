@@ -506,8 +506,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html")).withColumn("host", host_of(F.col("url")))
     # Each page is parsed once; what is written is smaller than the pages.
     parsed = stored(scored(source), "page-blocks")
-    # A page finds its kind by a join that adaptive execution splits for a host with very many pages.
-    told = parsed.join(chosen(parsed), ["host", "candidates"], "left")
+    # Kinds are written, so that the planner knows their size: while they are few, no page is shuffled to its kind.
+    # If they are many, adaptive execution splits the join for a host with very many pages.
+    told = parsed.join(stored(chosen(parsed), "page-kinds"), ["host", "candidates"], "left")
     inside = F.filter("blocks", lambda b: F.coalesce(b["place"].between(F.col("won.first"), F.col("won.last")), F.lit(True)))
     text = F.array_join(F.transform(inside, lambda b: b["text"]), "\n")
     return told.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
