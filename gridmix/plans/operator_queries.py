@@ -17,6 +17,7 @@ from gridmix.operators import quality as Q
 from gridmix.operators import sets as S
 from gridmix.operators import windows as W
 from gridmix.operators.day_bitmaps import count_days, qualifying_blocks
+from gridmix.operators.distributed import day_blocks, rank_desc_ranges, rolling_zscore_blocks
 from gridmix.operators.joins import (
     fan_out, join_detail_to_aggregate, semi_filter,
 )
@@ -543,6 +544,25 @@ def _rank_overall(m: Models) -> DataFrame:
                        "renewable_share_pct", ["year"], "rank_overall")
 
 
+@register("rank_overall_ranges", with_ctes(
+    "SELECT country_code, year, renewable_share_pct, rank_overall FROM gm_ranked", "gm_ranked"))
+def _rank_ranges(m: Models) -> DataFrame:
+    """The same rank by ranges of values, without a task per year."""
+    return rank_desc_ranges(m.profile.select("country_code", "year", "renewable_share_pct"),
+                            "renewable_share_pct", ["year"], "rank_overall", range_values=50)
+
+
+@register("rolling_zscore_blocks", with_ctes(
+    "SELECT country_code, date, wind_generation_zscore, solar_generation_zscore FROM wg_z", "wg_z"), reuses_rollup=True)
+def _zscore_blocks(m: Models) -> DataFrame:
+    """The same z-scores over blocks of a year, each with the 89 rows before it."""
+    series = I.weather_daily_generation(m.rollup)
+    scored = rolling_zscore_blocks(series, {"wind_generation_mwh": "wind_generation_zscore",
+                                            "solar_generation_mwh": "solar_generation_zscore"},
+                                   ["country_code"], "date", day_blocks("date", 365))
+    return scored.select("country_code", "date", "wind_generation_zscore", "solar_generation_zscore")
+
+
 @register("rolling_mean_90", with_ctes(
     f"SELECT country_code, date, {R('avg(wind_generation_mwh) OVER ' + O.W90, 4)} AS wind_mean_90 "
     "FROM wg_daily", "wg_daily"))

@@ -27,11 +27,12 @@ from gridmix.constants import (
     WEATHER_END, WEATHER_START,
 )
 from gridmix.operators import quality as Q
+from gridmix.operators.sets import union_frames
 from gridmix.plans import intermediate as I
 from gridmix.plans import marts as M
 from gridmix.plans import staging
 from gridmix.sources.readers import (
-    read_generation, read_owid, read_parquet, read_weather_json, scope_filter,
+    read_generation, read_parquet, scope_filter, split_owid, split_weather_json,
 )
 from gridmix.sources.sinks import layer_path, write_table
 from gridmix.streaming.incremental import (
@@ -53,6 +54,7 @@ class RawInputs:
     countries: tuple = tuple(COUNTRIES_ISO3)
     years: tuple = (START_YEAR, END_YEAR)
     weather_days: tuple = (WEATHER_START, WEATHER_END)
+    quarantine: str | None = None            # rejected records, set by ``load_raw``
 
 
 #: Column of a raw table that counts the fields of its row that could not be read.
@@ -62,7 +64,7 @@ BAD_VALUES = "_bad_values"
 def scoped_weather(spark: SparkSession, raw: RawInputs) -> DataFrame:
     """Raw weather of the days in scope."""
     if raw.weather_format == "json":
-        df = read_weather_json(spark, raw.weather, country_pattern=raw.weather_country_pattern)
+        df = split_weather_json(spark, raw.weather, raw.weather_country_pattern)[0]
     else:
         df = read_parquet(spark, raw.weather)
     first, last = (F.lit(d).cast("date") for d in raw.weather_days)
@@ -73,7 +75,7 @@ def scoped_annual(spark: SparkSession, raw: RawInputs) -> DataFrame:
     """Raw yearly statistics of the countries and years in scope. A row of such a
     country with fields that could not be read stays, whatever its year, to be counted."""
     if raw.annual_format == "csv":
-        df, _missing = read_owid(spark, raw.annual, bad_col=BAD_VALUES)
+        df, _missing, _rejected = split_owid(spark, raw.annual, bad_col=BAD_VALUES)
     else:
         df = read_parquet(spark, raw.annual)
     in_years = F.col("year").between(*raw.years)
@@ -86,13 +88,22 @@ def load_raw(spark: SparkSession, landing: RawInputs, out_root: str) -> RawInput
     """Read the landed weather and yearly files, scope them, stamp ``_loaded_at`` and
     replace the raw tables under ``<out_root>/raw``; returns where they are.
 
-    The hourly table is a raw table already and is not copied.
+    The hourly table is a raw table already and is not copied. Records that could
+    not be read go to a table of their own (``quarantine``) with file and reason.
     """
+    rejected = []
+    if landing.weather_format == "json":
+        rejected.append(split_weather_json(spark, landing.weather, landing.weather_country_pattern)[1])
+    if landing.annual_format == "csv":
+        rejected.append(split_owid(spark, landing.annual)[2])
+    quarantine = layer_path(out_root, "raw", "quarantine") if rejected else None
+    if quarantine:
+        write_table(union_frames(*rejected), quarantine, loaded_at=True)
     weather, annual = (layer_path(out_root, "raw", n) for n in ("weather_daily", "owid_energy"))
     write_table(scoped_weather(spark, landing), weather, loaded_at=True)
     write_table(scoped_annual(spark, landing), annual, loaded_at=True)
     return replace(landing, weather=weather, weather_format="parquet", annual=annual,
-                   annual_format="parquet")
+                   annual_format="parquet", quarantine=quarantine)
 
 
 def staged_inputs(spark: SparkSession, raw: RawInputs) -> dict[str, DataFrame]:
@@ -246,6 +257,10 @@ def run_checks(spark: SparkSession, raw: RawInputs, paths: dict[str, str], as_of
         Q.Check("assert_weather_date_coverage",
                 Q.coverage_gaps(daily, s["stg_weather_daily"], ["country_code", "date"]), "warn"),
     ]
+    if raw.quarantine is not None:
+        rejected = read_parquet(spark, raw.quarantine)
+        checks += [Q.Check(f"quarantine:{name}", rejected.filter(F.col("source") == name))
+                   for name in ("owid_energy", "weather_daily")]
     annual = scoped_annual(spark, raw)
     if BAD_VALUES in annual.columns:
         checks.append(Q.Check("bad_values:owid_energy", annual.filter(F.col(BAD_VALUES) > 0)))

@@ -60,6 +60,10 @@ def bad_values(df: DataFrame, schema: T.StructType) -> Column:
     return reduce(lambda x, y: x + y, bad, F.lit(0))
 
 
+#: A rejected record: where it is from, why it was rejected, its first field, and the record as it stands.
+REJECTS = ["source", "file", "reason", "key", "record"]
+
+
 def read_owid(spark: SparkSession, path: str, columns: list | None = None,
               bad_col: str | None = None) -> tuple[DataFrame, list]:
     """Wide CSV with header -> the wanted columns that exist, typed; plus missing names.
@@ -72,9 +76,35 @@ def read_owid(spark: SparkSession, path: str, columns: list | None = None,
     pruning. ``bad_col`` names a column that counts, for each row, the fields that
     became NULL for their text.
     """
-    wanted = columns or OWID_COLUMNS
     frames = [spark.read.option("header", True).option("inferSchema", False).csv(files)
               for files in files_by_header(spark, path).values()]
+    return _named(frames, columns or OWID_COLUMNS, bad_col)
+
+
+def split_owid(spark: SparkSession, path: str, columns: list | None = None,
+               bad_col: str | None = None) -> tuple[DataFrame, list, DataFrame]:
+    """As ``read_owid``, without the records that have more or fewer fields than their file's header;
+    those are returned last (REJECTS). Each record is in one of the two."""
+    good, rejected = [], []
+    for header, files in files_by_header(spark, path).items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _RECORD)])
+        # All columns are parsed: with pruned ones a record of too few fields would go unnoticed.
+        raw = (spark.read.schema(schema).option("header", True).option("columnPruning", False)
+               .option("columnNameOfCorruptRecord", _RECORD).csv(files))
+        good.append(raw.filter(F.col(_RECORD).isNull()).drop(_RECORD))
+        rejected.append(raw.filter(F.col(_RECORD).isNotNull()).select(
+            F.lit("owid_energy").alias("source"), F.col("_metadata.file_path").alias("file"),
+            F.lit(f"not the {len(header)} fields of the header").alias("reason"),
+            F.col(f"`{header[0]}`").alias("key"), F.col(_RECORD).alias("record")))
+    rows, missing = _named(good, columns or OWID_COLUMNS, bad_col)
+    return rows, missing, union_frames(*rejected)
+
+
+_RECORD = "_record"
+
+
+def _named(frames: list, wanted: list, bad_col: str | None) -> tuple[DataFrame, list]:
+    """The wanted columns of several frames of text, by name, typed and together; plus the names none has."""
     available = [c for c in wanted if any(c in raw.columns for raw in frames)]
     missing = [c for c in wanted if c not in available]
     if missing:
@@ -111,7 +141,9 @@ def zip_arrays_to_rows(df: DataFrame, arrays_col: str, fields: list, time_field:
     """
     keep = keep or []
     names = [time_field] + list(fields)
-    zipped = F.arrays_zip(*[F.col(f"{arrays_col}.{n}") for n in names])
+    # Without an array of times there are no rows; any other array that is missing is one of NULLs.
+    arrays = [F.col(f"{arrays_col}.{n}") for n in names]
+    zipped = F.arrays_zip(arrays[0], *[F.coalesce(a, F.array()) for a in arrays[1:]])
     exploded = df.select(*keep, F.inline(zipped))
     # Rename positionally: the zipped struct's field names depend on the inputs.
     zcols = exploded.columns[len(keep):]
@@ -141,6 +173,28 @@ def read_weather_json(spark: SparkSession, path: str, country: str | None = None
     return rows.select("country_code", "date", *WEATHER_FIELDS)
 
 
+def split_weather_json(spark: SparkSession, path: str, country_pattern: str) -> tuple[DataFrame, DataFrame]:
+    """Raw weather rows of a landing folder, and the documents that give none (REJECTS): unreadable ones, those
+    without a country in their file name, without days, or with arrays of unequal length, whose values could
+    not be told to days."""
+    schema = T.StructType([*schemas.WEATHER_JSON.fields, T.StructField(_RECORD, T.StringType())])
+    docs = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", _RECORD).json(path)
+    arrays = [F.col(f"daily.{c}") for c in ("time", *WEATHER_FIELDS)]
+    lengths = F.array_compact(F.array(*[F.size(F.when(a.isNotNull(), a)) for a in arrays]))
+    code = F.regexp_extract(F.col("_metadata.file_name"), country_pattern, 1)
+    reason = (F.when(F.col(_RECORD).isNotNull(), F.lit("no readable document"))
+              .when(F.col("daily.time").isNull(), F.lit("no array of days"))
+              .when(F.array_min(lengths) != F.array_max(lengths),
+                    F.concat(F.lit("arrays of "), F.array_min(lengths), F.lit(" to "), F.array_max(lengths), F.lit(" values")))
+              .when(code == "", F.lit("no country in the file name")))
+    judged = docs.select("daily", _RECORD, code.alias("country_code"), F.col("_metadata.file_path").alias("file"), reason.alias("reason"))
+    rows = zip_arrays_to_rows(judged.filter(F.col("reason").isNull()), "daily", WEATHER_FIELDS, "time", "date", keep=["country_code"])
+    rejected = judged.filter(F.col("reason").isNotNull()).select(
+        F.lit("weather_daily").alias("source"), "file", "reason", F.col("country_code").alias("key"),
+        F.coalesce(_RECORD, F.to_json("daily")).alias("record"))
+    return rows.select("country_code", "date", *WEATHER_FIELDS), rejected
+
+
 def read_generation(spark: SparkSession, path: str) -> DataFrame:
     """Raw hourly generation (Parquet) with the declared schema."""
     return spark.read.schema(schemas.GENERATION_RAW).parquet(path)

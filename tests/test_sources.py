@@ -120,3 +120,36 @@ def test_full_replace_removes_partitions_that_are_gone(spark, tmp_dir):
         write_table(spark.createDataFrame([(3, d("2025-01-02"))], "v int, date date"), path, "date")
         assert rows(spark.read.parquet(path), "v", "date") == [(3, d("2025-01-02"))]
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+def test_rejected_records_are_counted(spark, tmp_dir):
+    from gridmix.sources.readers import split_owid, split_weather_json
+
+    folder = os.path.join(tmp_dir, "csv")
+    os.makedirs(folder)
+    open(os.path.join(folder, "a.csv"), "w").write(
+        "iso_code,country,year,solar_share_elec\nAAA,a,2024,1\nBBB,b,2024\nCCC,c,2024,2,9\nDDD,\"d, e\",2024,x\n")
+    open(os.path.join(folder, "b.csv"), "w").write("year,iso_code,country\n2023,EEE,e\n2023\n")
+    good, missing, bad = split_owid(spark, folder, bad_col="n_bad")
+    assert rows(good, "iso_code", "country", "year", "solar_share_elec", "n_bad", order=["iso_code"]) == [
+        ("AAA", "a", 2024, 1.0, 0), ("DDD", "d, e", 2024, None, 1), ("EEE", "e", 2023, None, 0)]
+    assert "hydro_share_elec" in missing
+    assert sorted((r["file"].rsplit("/", 1)[1], r["key"], r["record"]) for r in bad.collect()) == [
+        ("a.csv", "BBB", "BBB,b,2024"), ("a.csv", "CCC", "CCC,c,2024,2,9"), ("b.csv", "2023", "2023")]
+
+    docs = os.path.join(tmp_dir, "json")
+    os.makedirs(docs)
+    daily = {"time": ["2024-01-01", "2024-01-02"], "wind_speed_10m_max": [1.0, 2.0], "sunshine_duration": [1.0, 2.0],
+             "temperature_2m_mean": [1.0, 2.0], "precipitation_sum": [0.0, 0.0], "cloud_cover_mean": [5.0, 6.0]}
+    some = {"DE": {"daily": daily}, "FR": {"daily": daily | {"wind_speed_10m_max": [1.0]}}, "NO": {"hourly": 1},
+            "SE": {"daily": {k: v for k, v in daily.items() if k != "cloud_cover_mean"}}}
+    for name, doc in some.items():
+        json.dump(doc, open(os.path.join(docs, f"weather_{name}.json"), "w"))
+    open(os.path.join(docs, "weather_EE.json"), "w").write('{"daily": {"time": [')
+    json.dump({"daily": daily}, open(os.path.join(docs, "other.json"), "w"))
+    good, bad = split_weather_json(spark, docs, r"weather_([A-Z]{2})\.json")
+    assert rows(good, "country_code", "date", "cloud_cover_mean", order=["country_code", "date"]) == [
+        ("DE", "2024-01-01", 5.0), ("DE", "2024-01-02", 6.0), ("SE", "2024-01-01", None), ("SE", "2024-01-02", None)]
+    assert sorted((r["file"].rsplit("/", 1)[1], r["reason"]) for r in bad.collect()) == [
+        ("other.json", "no country in the file name"), ("weather_EE.json", "no readable document"),
+        ("weather_FR.json", "arrays of 1 to 2 values"), ("weather_NO.json", "no array of days")]
