@@ -14,10 +14,13 @@ import os
 import re
 import unicodedata
 
+import numpy as np
 import regex
 
 #: Characters that str.split() takes for white space and the tokenizer doesn't.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
+#: Marks that often end a word.
+MARKS = frozenset(".,;:!?")
 #: The normaliser sees these as white space (Unicode White_Space).
 SPACE = regex.compile(r"\s+")
 
@@ -52,13 +55,13 @@ def byte_letters() -> list[str]:
 
 
 class WordBpe:
-    def __init__(self, source: bytes, cache_words: int = 400_000):
+    def __init__(self, source: bytes, cache_words: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         spec = json.loads(source)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
+        self.cut = regex.compile(split["pattern"]["Regex"]).findall
         self.later = re.compile(assigned_later())
         self.library = Tokenizer.from_str(json.dumps(spec))
         self.added = {t["content"]: t["id"].to_bytes(4, "little") for t in spec["added_tokens"]}
@@ -66,7 +69,10 @@ class WordBpe:
             raise ValueError("added tokens that take part in normalisation or strip what is beside them")
         # The longest of those that begin at a place is found.
         self.parting = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
-        self.letters = byte_letters()
+        #: Ids that end a piece: each piece has one, its last.
+        self.ending = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
+        self.ending[[i for t, i in spec["model"]["vocab"].items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
+        self.letters = dict(enumerate(byte_letters()))
         # The same merges behind a plain split at spaces: pieces come cut and normalised.
         self.merges = Tokenizer.from_str(json.dumps(
             spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
@@ -95,18 +101,22 @@ class WordBpe:
             at = m.end()
         return out + self.normal(text[at:]) if out else self.normal(text)
 
+    def pieces(self, word: str) -> list[str]:
+        """The parts of a word that are merged apart; letters with one mark behind need no pattern."""
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.cut(word)
+
     def _merge(self, parts: list[str]) -> None:
         """Put the ids of distinct pieces, none of them known, into the cache."""
-        letters = self.letters
-        spelt = ["".join([letters[b] for b in p.encode()]) for p in parts]
-        for at in range(0, len(parts), 2000):
-            some = parts[at:at + 2000]
-            done = self.merges.encode(" ".join(spelt[at:at + 2000]), add_special_tokens=False)
-            ids: list[list[int]] = [[] for _ in some]
-            for word, i in zip(done.word_ids, done.ids):
-                ids[word].append(i)
-            for p, own in zip(some, ids):
-                self.parts[p] = b"".join([i.to_bytes(4, "little") for i in own])
+        # An ASCII piece holds no space or control sign that a letter would stand for.
+        spelt = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.letters) for p in parts]
+        joined = [" ".join(spelt[at:at + 2000]) for at in range(0, len(parts), 2000)]
+        for at, done in zip(range(0, len(parts), 2000), self.merges.encode_batch_fast(joined, add_special_tokens=False)):
+            own = np.array(done.ids, "<u4")
+            ids, ends = own.tobytes(), (4 * np.flatnonzero(self.ending[own]) + 4).tolist()
+            for p, start, end in zip(parts[at:at + 2000], [0, *ends], ends):
+                self.parts[p] = ids[start:end]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
@@ -115,9 +125,12 @@ class WordBpe:
         words, parts = self.words, self.parts
         new = set().union(*lists).difference(words)
         words.update({w: self.added[w[1:]] for w in new if w[:1] == " "})
-        cut = [(w, self.pieces(w)) for w in new if w[:1] != " "]
-        new_parts = {p for _, own in cut for p in own}.difference(parts)
+        whole = {w for w in new if w.isalpha()}  # of letters alone: one piece
+        cut = [(w, self.pieces(w)) for w in new - whole if w[:1] != " "]
+        new_parts = {p for _, own in cut for p in own}.union(whole).difference(parts)
         self._merge(list(new_parts))
+        for w in whole:
+            words[w] = parts[w]
         for w, own in cut:
             words[w] = parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own])
         out = [b"".join([words[w] for w in ws]) for ws in lists]
